@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpointed, table
-from . import bpe, mixing
+from . import bpe, language, mixing
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -27,6 +27,20 @@ def p9_shares(spark: SparkSession, d: str) -> DataFrame:
     return mixing.shares(mixing.mix(_sized_documents(spark, d), targets), targets)
 
 
-QUERIES = {f.__name__: f for f in (p8_ids, p9_mix, p9_shares)}
+def _identified(spark: SparkSession, d: str) -> DataFrame:
+    docs = table(spark, d, "documents")
+    return language.identify(docs, "doc_id", "text", language.fit(docs, "doc_id", "text", "lang"), ["lang"])
+
+
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return language.wrong_labels(_identified(spark, d), "doc_id", "lang").select("doc_id", "lang")
+
+
+def p10_segments(spark: SparkSession, d: str) -> DataFrame:
+    """Every segment of every document with its language and confidence."""
+    return _identified(spark, d).select("doc_id", F.inline("segments"))
+
+
+QUERIES = {f.__name__: f for f in (p8_ids, p9_mix, p9_shares, p10_found, p10_segments)}
 
 ORACLE: dict[str, str] = {}
