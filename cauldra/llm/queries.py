@@ -6,7 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpointed, table
-from . import bpe, language, mixing
+from . import bpe, canonical, language, mixing
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return canonical.listing_types(table(spark, d, "white2tea"), table(spark, d, "tea_type_ref"))
+
+
+def p4_misses(spark: SparkSession, d: str) -> DataFrame:
+    """The report of values that no entry of the list is meant by, with the listings that hold them."""
+    listings = canonical.latest_listings(table(spark, d, "white2tea"), "product_type")
+    told = canonical.map_values(listings, "product_type", table(spark, d, "tea_type_ref"), "type_id", "type_name", "aka")
+    return told.filter("entry = 0").select(F.col("value").alias("product_type"), F.col("rows").alias("listings"))
 
 
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
@@ -41,6 +52,6 @@ def p10_segments(spark: SparkSession, d: str) -> DataFrame:
     return _identified(spark, d).select("doc_id", F.inline("segments"))
 
 
-QUERIES = {f.__name__: f for f in (p8_ids, p9_mix, p9_shares, p10_found, p10_segments)}
+QUERIES = {f.__name__: f for f in (p4_found, p4_misses, p8_ids, p9_mix, p9_shares, p10_found, p10_segments)}
 
 ORACLE: dict[str, str] = {}
