@@ -6,7 +6,21 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpointed, table
-from . import bpe, canonical, language, mixing
+from . import bpe, canonical, language, mixing, names
+
+
+def _makers(spark: SparkSession, d: str) -> DataFrame:
+    return names.linked_makers(*(table(spark, d, t) for t in ("producer", "white2tea", "vendor")))
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return names.name_pairs(checkpointed(_makers(spark, d)))
+
+
+def p3_entities(spark: SparkSession, d: str) -> DataFrame:
+    """One row per spelling with its maker and the number of spellings of that maker."""
+    linked = checkpointed(_makers(spark, d))
+    return linked.join(linked.groupBy("entity").agg(F.count(F.lit(1)).alias("spellings")), "entity").select("name", "entity", "spellings")
 
 
 def p4_found(spark: SparkSession, d: str) -> DataFrame:
@@ -52,6 +66,6 @@ def p10_segments(spark: SparkSession, d: str) -> DataFrame:
     return _identified(spark, d).select("doc_id", F.inline("segments"))
 
 
-QUERIES = {f.__name__: f for f in (p4_found, p4_misses, p8_ids, p9_mix, p9_shares, p10_found, p10_segments)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_entities, p4_found, p4_misses, p8_ids, p9_mix, p9_shares, p10_found, p10_segments)}
 
 ORACLE: dict[str, str] = {}
