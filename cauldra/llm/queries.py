@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpointed, table
-from . import bpe, canonical, language, mixing, names
+from . import bpe, canonical, language, listings, mixing, names
 
 
 def _makers(spark: SparkSession, d: str) -> DataFrame:
@@ -34,6 +34,20 @@ def p4_misses(spark: SparkSession, d: str) -> DataFrame:
     return told.filter("entry = 0").select(F.col("value").alias("product_type"), F.col("rows").alias("listings"))
 
 
+def _products(spark: SparkSession, d: str) -> DataFrame:
+    return checkpointed(listings.product_groups(*(table(spark, d, t) for t in ("white2tea", "producer", "vendor", "tea_type_ref"))))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return listings.listing_pairs(_products(spark, d))
+
+
+def p7_groups(spark: SparkSession, d: str) -> DataFrame:
+    """One row per listing with its product and the number of listings of that product."""
+    groups = _products(spark, d)
+    return groups.join(groups.groupBy("product").agg(F.count(F.lit(1)).alias("listings")), "product").select("payload_id", "product", "listings")
+
+
 def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return bpe.encode_column(table(spark, d, "documents"), "doc_id", "text")
 
@@ -66,6 +80,6 @@ def p10_segments(spark: SparkSession, d: str) -> DataFrame:
     return _identified(spark, d).select("doc_id", F.inline("segments"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_entities, p4_found, p4_misses, p8_ids, p9_mix, p9_shares, p10_found, p10_segments)}
+QUERIES = {f.__name__: f for f in (p3_found, p3_entities, p4_found, p4_misses, p7_found, p7_groups, p8_ids, p9_mix, p9_shares, p10_found, p10_segments)}
 
 ORACLE: dict[str, str] = {}
