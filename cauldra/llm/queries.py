@@ -6,7 +6,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import checkpointed, table
-from . import bpe, canonical, language, listings, mixing, names
+from . import bpe, canonical, language, listings, markup, mixing, names
+
+
+def p1_found(spark: SparkSession, d: str) -> DataFrame:
+    bodies = table(spark, d, "white2tea").select(F.col("payload.id").alias("payload_id"), F.col("payload.body_html").alias("body")).filter("body is not null").distinct()
+    return markup.label_documents(bodies, "payload_id", "body").select("payload_id", F.inline("found")).distinct()
+
+
+def p1_clean(spark: SparkSession, d: str) -> DataFrame:
+    """Clean text of every listing's latest description."""
+    latest = canonical.latest_listings(table(spark, d, "white2tea"), "body_html")
+    return markup.label_documents(latest, "payload_id", "body_html").select("payload_id", "clean")
 
 
 def _makers(spark: SparkSession, d: str) -> DataFrame:
@@ -80,6 +91,6 @@ def p10_segments(spark: SparkSession, d: str) -> DataFrame:
     return _identified(spark, d).select("doc_id", F.inline("segments"))
 
 
-QUERIES = {f.__name__: f for f in (p3_found, p3_entities, p4_found, p4_misses, p7_found, p7_groups, p8_ids, p9_mix, p9_shares, p10_found, p10_segments)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_clean, p3_found, p3_entities, p4_found, p4_misses, p7_found, p7_groups, p8_ids, p9_mix, p9_shares, p10_found, p10_segments)}
 
 ORACLE: dict[str, str] = {}
