@@ -71,7 +71,9 @@ def nearest(items: DataFrame, queries: DataFrame, ident: str, vector: str, k: in
 def ngram_counts(docs: DataFrame, text: str, n: int, by: list[str] | None = None) -> DataFrame:
     """(by columns, ngram, n) of word n-grams in lower case; counts combine before the shuffle."""
     words = F.filter(F.split(F.lower(text), r"(?U)[^\p{L}\p{N}]+"), lambda w: w != "")
-    grams = F.when(F.size(words) >= n, F.transform(F.sequence(F.lit(1), F.size(words) - (n - 1)), lambda i: F.concat_ws(" ", F.slice(words, i, F.lit(n)))))
+    # The words are bound once as a lambda's variable; inlined, they would be split anew per n-gram.
+    listed = F.transform(F.array(words), lambda w: F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(1), F.size(w) - (n - 1)), lambda i: F.concat_ws(" ", F.slice(w, i, F.lit(n))))))
+    grams = F.get(listed, 0)
     return docs.select(*(by or []), F.explode(grams).alias("ngram")).groupBy(*(by or []), "ngram").agg(F.count(F.lit(1)).alias("n"))
 
 

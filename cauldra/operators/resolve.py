@@ -8,7 +8,9 @@ weight), so it runs per such group in the records' own order.
 
 from __future__ import annotations
 
-import pandas as pd
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,27 +25,33 @@ CANDIDATES = 5
 def trigram_matches(probe: DataFrame, known: DataFrame, probe_name: str, known_id: str, known_name: str, least: float = SIMILAR, block: list[str] | None = None) -> DataFrame:
     """(probe_name, block columns, known_id, sim) of all pairs with at least ``least`` similarity.
 
-    Two sets can only be so similar if their sizes are, and then they share one of the rarer trigrams
-    of either: each side is indexed by the prefix of its trigrams in hash order that must overlap
-    (prefix filtering), so frequent trigrams of long names do not meet. ``block`` names columns both
-    sides have and must agree on, null-safe. A ladder over many pairs keeps its cost at the index.
+    Two sets can only be so similar if their sizes are, and if they share one of the rarest few
+    trigrams of either (prefix filtering): each side is indexed by its prefix in order of rarity over
+    both sides, so trigrams that many names have are never met. ``block`` names columns that both
+    sides have and must agree on, null-safe.
     """
     block = block or []
-    keys = [F.coalesce(F.col(b).cast("string"), F.lit("\0")).alias(f"_b{i}") for i, b in enumerate(block)]
-
-    def side(df: DataFrame, cols: list) -> DataFrame:
-        t = F.array_sort(F.transform(trigrams(F.col("_name")), lambda g: F.struct(F.xxhash64(g).alias("h"), g.alias("g"))))
-        out = df.select(*cols, *keys).withColumn("_t", t).withColumn("_n", F.size("_t"))
-        prefix = F.slice("_t", F.lit(1), F.greatest(F.col("_n") - F.ceil(F.col("_n") * least) + 1, F.lit(1)).cast("int"))
-        return out.filter("_n > 0").withColumn("_prefix", prefix)
-
-    left = side(probe.withColumn("_name", F.col(probe_name)).dropDuplicates([probe_name, *block]), [probe_name, *block, "_name"]).withColumnsRenamed({"_n": "_ln", "_t": "_lt"})
-    right = side(known.withColumn("_name", F.col(known_name)), [F.col(known_id).alias("_id"), "_name"]).withColumnsRenamed({"_n": "_rn", "_t": "_rt"}).drop("_name")
-    on = ["_g", *[f"_b{i}" for i in range(len(block))]]
-    a = left.withColumn("_g", F.explode("_prefix")).drop("_prefix")
-    b = right.withColumn("_g", F.explode("_prefix")).drop("_prefix")
-    near = a.join(b, on).filter((F.col("_ln") >= least * F.col("_rn")) & (F.col("_rn") >= least * F.col("_ln")))
-    scored = near.dropDuplicates([probe_name, *[f"_b{i}" for i in range(len(block))], "_id"]).withColumn("sim", set_similarity(F.col("_lt"), F.col("_rt"))).filter(F.col("sim") >= least)
+    b = [f"_b{i}" for i in range(len(block))]
+    keys = [F.coalesce(F.col(c).cast("string"), F.lit("\0")).alias(k) for c, k in zip(block, b)]
+    left = probe.select(probe_name, *block, *keys).distinct().withColumn("_t", trigrams(F.col(probe_name))).filter("size(_t) > 0")
+    right = known.select(F.col(known_id).alias("_id"), F.col(known_name).alias("_name"), *keys).withColumn("_t", trigrams(F.col("_name"))).filter("size(_t) > 0")
+
+    mine = left.select(F.col(probe_name).alias("_name"), "_t").unionByName(right.select("_name", "_t")).select(F.explode("_t").alias("_g"))
+    counts = mine.groupBy("_g").agg(F.count(F.lit(1)).alias("_f"))
+
+    def prefixes(names: DataFrame) -> DataFrame:
+        grams = names.select("_name", F.explode("_t").alias("_g")).join(counts, "_g")
+        ordered = grams.groupBy("_name").agg(F.array_sort(F.collect_list(F.struct("_f", "_g"))).alias("_o"))
+        n = F.size("_o")
+        some = F.slice("_o", F.lit(1), F.greatest(n - F.ceil(n * least) + 1, F.lit(1)).cast("int"))
+        return ordered.select("_name", F.explode(some).alias("_p")).select("_name", F.col("_p._g").alias("_g"))
+
+    lp = prefixes(left.select(F.col(probe_name).alias("_name"), "_t").dropDuplicates(["_name"])).withColumnRenamed("_name", probe_name)
+    rp = prefixes(right.select("_name", "_t").dropDuplicates(["_name"]))
+    l = left.join(lp, probe_name).select(probe_name, *block, *b, F.col("_t").alias("_lt"), "_g")
+    r = right.join(rp, "_name").select("_id", *b, F.col("_t").alias("_rt"), "_g")
+    near = l.join(r, ["_g", *b]).filter((F.size("_lt") >= least * F.size("_rt")) & (F.size("_rt") >= least * F.size("_lt")))
+    scored = near.dropDuplicates([probe_name, *b, "_id"]).withColumn("sim", set_similarity(F.col("_lt"), F.col("_rt"))).filter(F.col("sim") >= least)
     return scored.select(probe_name, *block, F.col("_id").alias(known_id), "sim")
 
 
@@ -83,30 +91,34 @@ def name_trigrams(text: str) -> frozenset[str]:
     return frozenset(w[i : i + 3] for w in words for i in range(len(w) - 2))
 
 
-def climb(existing: list[tuple[int, str]], incoming: list[tuple[str, str]], fresh) -> list[tuple[int, str]]:
-    """The ladder within one group: (id, label) of each incoming (name, key) in order.
+class Ladder:
+    """The steps exact, similar, ambiguous, create within one group. What a row creates, later rows may
+    find."""
 
-    ``existing``: (id, name). Labels: ``exact``, ``trigram``, ``ambiguous_created``, ``created``. What
-    one row creates, the next may find. ``fresh(i)`` gives the id of a product that row i creates.
-    """
-    known = [(i, n.lower(), name_trigrams(n)) for i, n in sorted(existing)]
-    out = []
-    for at, (name, key) in enumerate(incoming):
-        same = [i for i, low, _ in known if low == key]
-        if same:
-            out.append((min(same), "exact"))
-            continue
+    def __init__(self):
+        self.known: list[tuple[int, frozenset[str]]] = []
+        self.by_name: dict[str, int] = {}
+
+    def know(self, ident: int, name: str | None) -> None:
+        name = name or ""
+        self.known.append((ident, name_trigrams(name)))
+        low = name.lower()
+        self.by_name[low] = min(ident, self.by_name.get(low, ident))
+
+    def climb(self, name: str | None, key: str | None, fresh: int) -> tuple[int, str]:
+        """(id, label) of one row, ``fresh`` being the id of what it would create. Labels: ``exact``,
+        ``trigram``, ``ambiguous_created``, ``created``."""
+        name = name or ""
+        if key in self.by_name:
+            return self.by_name[key], "exact"
         own = name_trigrams(name)
-        close = sorted(((-len(own & t) / len(own | t), i) for i, _, t in known if own and t and len(own & t) >= SIMILAR * len(own | t)))[:CANDIDATES]
+        close = sorted((-len(own & t) / len(own | t), i < 0, abs(i), i) for i, t in self.known if own and t and len(own & t) >= SIMILAR * len(own | t))[:CANDIDATES]
         if close:
             top = -close[0][0]
             if len(close) < 2 or top >= CERTAIN or top + close[1][0] >= LEAD:
-                out.append((close[0][1], "trigram"))
-                continue
-        made = fresh(at)
-        known.append((made, name.lower(), own))
-        out.append((made, "ambiguous_created" if close else "created"))
-    return out
+                return close[0][3], "trigram"
+        self.know(fresh, name)
+        return fresh, "ambiguous_created" if close else "created"
 
 
 GROUP = ["producer_id", "harvest_year", "weight_grams"]
@@ -118,29 +130,29 @@ def resolve_products(incoming: DataFrame, existing: DataFrame) -> DataFrame:
     ``incoming``: (row_no long, unique and in processing order; name; producer_id, harvest_year,
     weight_grams). ``existing``: (product_id, name, and the same group columns). Ids of created
     products are minus the row_no that creates them, to be replaced by real ids when they are written.
-    Null group values match only null. Identical (name, group) rows are resolved once, at their first
-    row: the rest are exact by definition, so a group grows with its distinct names only.
+    Null group values match only null. A group is sequential by nature: its rows stream through one
+    task, which holds the group's products, never its rows. Rows of equal content don't come this far
+    (the raw layer drops them), so a group grows with its listings' contents.
     """
     keyed = incoming.select("row_no", "name", name_key(F.col("name")).alias("key"), *GROUP)
-    first = keyed.groupBy("name", "key", *GROUP).agg(F.min("row_no").alias("row_no"))
-
-    def ladder(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        right = right.sort_values("row_no")
-        rows = list(zip(right["name"], right["key"]))
-        ids = right["row_no"].tolist()
-        got = climb(list(zip(left["product_id"].tolist(), left["name"])), rows, lambda i: -ids[i])
-        return pd.DataFrame({"row_no": ids, "product_id": [g[0] for g in got], "decision": [g[1] for g in got]}, columns=["row_no", "product_id", "decision"]).astype({"row_no": "int64", "product_id": "int64"})
-
-    known = existing.select("product_id", "name", *GROUP).groupBy(*GROUP)
-    decided = known.cogroup(first.groupBy(*GROUP)).applyInPandas(ladder, "row_no long, product_id long, decision string")
-    what = ["name", "key", *GROUP]
-    at_first = first.join(decided, "row_no").select(F.col("row_no").alias("_first"), "product_id", "decision", *[F.col(c).alias(f"_{c}") for c in what])
-    same = None
-    for c in what:
-        cond = F.col(c).eqNullSafe(F.col(f"_{c}"))
-        same = cond if same is None else same & cond
-    joined = keyed.join(at_first, same)
-    # Later copies of a row find what the first one reused or created: exactly, if the stored name in
-    # lower case is the key; a name with inner runs of spaces is not, and is found as most similar.
-    again = F.when(F.col("decision").isin("created", "ambiguous_created"), F.when(F.lower("name") == F.col("key"), "exact").otherwise("trigram")).otherwise(F.col("decision"))
-    return joined.select("row_no", "product_id", F.when(F.col("row_no") == F.col("_first"), F.col("decision")).otherwise(again).alias("decision"))
+    known = existing.select(F.lit(None).cast("long").alias("row_no"), "name", F.lit(None).cast("string").alias("key"), *GROUP, "product_id")
+    rows = known.unionByName(keyed.withColumn("product_id", F.lit(None).cast("long")))
+
+    def ladder(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, climber = None, Ladder()
+        for b in batches:
+            out = []
+            for r in b.to_pylist():
+                now = tuple(r[g] for g in GROUP)
+                if now != group:
+                    group, climber = now, Ladder()
+                if r["row_no"] is None:
+                    climber.know(r["product_id"], r["name"])
+                else:
+                    out.append((r["row_no"], *climber.climb(r["name"], r["key"], -r["row_no"])))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array([o[0] for o in out], pa.int64()), pa.array([o[1] for o in out], pa.int64()), pa.array([o[2] for o in out], pa.string())], names=["row_no", "product_id", "decision"])
+
+    # One task holds whole groups, one after the other: what is known first, then the rows in order.
+    placed = rows.repartition(*GROUP).sortWithinPartitions(*GROUP, F.col("row_no").asc_nulls_first(), "product_id")
+    return placed.mapInArrow(ladder, "row_no long, product_id long, decision string")

@@ -190,9 +190,10 @@ def variant_quantities(records: DataFrame) -> DataFrame:
     Texts repeat across deliveries, so distinct (variant, texts) are taken before Python sees them;
     of a variant whose texts differ between records the latest scrape counts.
     """
-    from .nested import CATALOG_TABLES, flatten_table
+    from .nested import FlatTable, Level, flatten_table
 
-    flat = flatten_table(records, {"scraped_at": "ingest_meta.scraped_at"}, CATALOG_TABLES["variant"]).filter("variant_id is not null")
+    wanted = FlatTable([Level("payload.variants", "variant_pos")], {"variant_id": "id", "option1": "option1", "variant_title": "title", "grams": "grams"})
+    flat = flatten_table(records, {"scraped_at": "ingest_meta.scraped_at"}, wanted).filter("variant_id is not null")
     last = flat.groupBy("variant_id", "option1", "variant_title", "grams").agg(F.max("scraped_at").alias("at"))
     told = with_quantity(last, "option1", "variant_title", "grams").filter("quantity is not null")
     w = Window.partitionBy("variant_id").orderBy(F.col("at").desc_nulls_last(), "option1", "variant_title", "grams")
