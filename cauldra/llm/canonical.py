@@ -135,6 +135,8 @@ class Reference:
     def __init__(self, names: list[tuple[int, str]], frequency: dict[int, int] | None = None):
         self.names = sorted({(i, s) for i, n in names if n and (s := spaced(n))})
         self.frequency = frequency or {}
+        #: No longer value can be within the bound of a name.
+        self.longest = max((len(compact(s)) for _, s in self.names), default=0) + MAX_EDITS
         self.by_delete: dict[str, list[int]] = {}
         for at, (_, s) in enumerate(self.names):
             for x in deletes(compact(s), edits_allowed(compact(s))):
@@ -143,7 +145,7 @@ class Reference:
     def exact(self, value: str) -> int | None:
         for r in readings(value):
             key = compact(r)
-            for at in self.by_delete.get(key, ()):
+            for at in () if len(key) > self.longest else self.by_delete.get(key, ()):
                 if compact(self.names[at][1]) == key:
                     return self.names[at][0]
         return None
@@ -162,6 +164,8 @@ class Reference:
 
     def candidates(self, reading: str) -> list[tuple[int, str]]:
         key = compact(reading)
+        if len(key) > self.longest:
+            return []
         found = {at for x in deletes(key, edits_allowed(key)) for at in self.by_delete.get(x, ())}
         return [self.names[at] for at in found]
 
@@ -229,7 +233,7 @@ def _mapped_by_join(values: DataFrame, names: DataFrame) -> DataFrame:
 
     def cut_values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(v, r, x) for v in b["value"] for r in readings(v) for x in deletes(compact(r), edits_allowed(compact(r)))]
+            rows = [(v, r, x) for v in b["value"] for r in readings(v) if len(compact(r)) <= longest for x in deletes(compact(r), edits_allowed(compact(r)))]
             yield pd.DataFrame(rows, columns=["value", "reading", "cut"])
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -238,6 +242,7 @@ def _mapped_by_join(values: DataFrame, names: DataFrame) -> DataFrame:
             got = [ref.rank(r, [(e, s)]) for r, e, s in zip(b["reading"], b["entry"], b["spaced"])]
             yield pd.DataFrame({"value": b["value"], "entry": b["entry"], "distance": [g and g[0] for g in got]}).dropna()
 
+    longest = (names.agg(F.max(F.length("name")).alias("n")).first()["n"] or 0) + MAX_EDITS
     theirs = names.mapInPandas(cut, "entry long, spaced string, cut string")
     ours = values.mapInPandas(cut_values, "value string, reading string, cut string")
     pairs = ours.join(theirs, "cut").select("value", "reading", "entry", "spaced").distinct()
