@@ -344,7 +344,7 @@ def clean(text: str, labelled: list[tuple[Leaf, int]]) -> str:
     """Clean text: headings as ``# line``, list items as ``- line``, code between fences, formulas as
     they stand; all other markup is taken off. Text without markup keeps its words and line breaks."""
     lines: list[str] = []
-    line, code, style, boxes = "", False, None, ()
+    line, code, style, boxes, held = "", False, None, (), ""
 
     def flush() -> None:
         nonlocal line, style
@@ -355,11 +355,12 @@ def clean(text: str, labelled: list[tuple[Leaf, int]]) -> str:
         line = ""
 
     def fence(on: bool) -> None:
-        nonlocal code
+        nonlocal code, held
         if on != code:
             flush()
+            lines.extend(part for part in held.splitlines() if part.strip())
             lines.append("```")
-            code = on
+            code, held = on, ""
 
     for x, label in checked(text, labelled):
         s = text[x.start : x.end]
@@ -379,7 +380,7 @@ def clean(text: str, labelled: list[tuple[Leaf, int]]) -> str:
                 line += s
             else:
                 fence(True)
-                lines.extend(part for part in html.unescape(s).splitlines() if part.strip())
+                held += ("\n" if x.breaks else "") + html.unescape(s)
             continue
         fence(False)
         if x.kind == "tag":

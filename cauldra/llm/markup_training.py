@@ -32,6 +32,8 @@ class Writer:
         return " ".join(self.r.choice(self.vocabulary) for _ in range(self.r.randint(least, most)))
 
     def sentence(self) -> str:
+        if self.r.random() < 0.12:
+            return self.words(1, 5)
         s = self.words(4, 16).capitalize()
         if self.r.random() < 0.25:
             s = s.replace(" ", f" {self.r.randint(1, 2100)} ", 1)
