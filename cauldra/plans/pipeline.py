@@ -45,7 +45,7 @@ def load(spark: SparkSession, root: str, store: Store, since: date | None = None
     start = there.agg(F.coalesce(F.max("snapshot_id"), F.lit(0)).alias("m")).first()["m"]
     numbered = checkpointed(bronze.with_ids(fresh, "snapshot_id", list(bronze.ARRIVAL), start).select(*COLUMNS))
     counters = checkpointed(bronze.load_counters(scanned, numbered))
-    store.write("bronze", there.unionByName(numbered), ["source"])
+    store.append("bronze", numbered, ["source"])
     if run is not None:
         total = counters.agg(F.sum("inserted").alias("i"), F.sum("errors").alias("e")).first()
         run.records_count = total["i"] or 0
@@ -114,7 +114,7 @@ def normalize(spark: SparkSession, store: Store, base_urls: dict[str, str], as_o
 
     facts = store.read("product_snapshot", SNAPSHOT)
     incoming = placed.join(listing.select("vendor_product_id", "vendor_id", "vendor_external_id"), ["vendor_id", "vendor_external_id"]).select("snapshot_id", "vendor_product_id", "scraped_at", "available", "price_cents", "description_hash")
-    facts = store.write("product_snapshot", facts.unionByName(silver.new_snapshots(incoming, facts)))
+    facts = store.append("product_snapshot", silver.new_snapshots(incoming, facts))
 
     touched = placed.select("product_id").distinct()
     seen = facts.join(listing.select("vendor_product_id", "product_id"), "vendor_product_id").join(touched, "product_id", "left_semi")

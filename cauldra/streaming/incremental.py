@@ -38,6 +38,6 @@ def load_new_files(spark: SparkSession, root: str, store: Store, checkpoint: str
         fresh = bronze.new_only(bronze.first_wins(bronze.hashed(good)), there)
         start = there.agg(F.coalesce(F.max("snapshot_id"), F.lit(0)).alias("m")).first()["m"]
         numbered = checkpointed(bronze.with_ids(fresh, "snapshot_id", list(bronze.ARRIVAL), start).select(*COLUMNS))
-        store.write("bronze", there.unionByName(numbered), ["source"])
+        store.append("bronze", numbered, ["source"])
 
     return placed.writeStream.foreachBatch(absorb).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
