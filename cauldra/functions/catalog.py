@@ -25,7 +25,14 @@ TAG_KEYS = (
 YEAR_KEYS = ("harvest & season", "pu-erh harvest season")
 
 _TAG = "^(" + "|".join(k.replace("&", r"\&") for k in TAG_KEYS) + r")_(?s:(.+))$"
+#: Units of mass, and the patterns of stated weights and years.
 _MASS = r"(?:g|grams?|kg|kilograms?)"
+BRACKETED = rf"(?iU)\((\d+(?:\.\d+)?)\s*({_MASS})\)"
+PIECES = rf"(?iU)(\d+)\s*x\s*(\d+(?:\.\d+)?)\s*({_MASS})\b"
+PLAIN = rf"(?iU)(\d+(?:\.\d+)?)\s*({_MASS})\b"
+IN_TITLE = r"(?iU)(\d{2,4})\s*(?:g|grams?)\b"
+ANY_YEAR = r"((?:19|20)\d\d)"
+FIRST_YEAR = r"^(?U)((?:19|20)\d\d)\b"
 
 
 def parsed_tags(tags: Column) -> Column:
@@ -72,15 +79,11 @@ def _found(text: Column, pattern: str, number: int, unit: int, count: int | None
 
 def option_grams(text: Column) -> Column:
     """Net grams that an option states: in brackets, else pieces times weight, else plainly."""
-    return F.coalesce(
-        _found(text, rf"(?iU)\((\d+(?:\.\d+)?)\s*({_MASS})\)", 1, 2),
-        _found(text, rf"(?iU)(\d+)\s*x\s*(\d+(?:\.\d+)?)\s*({_MASS})\b", 2, 3, 1),
-        _found(text, rf"(?iU)(\d+(?:\.\d+)?)\s*({_MASS})\b", 1, 2),
-    )
+    return F.coalesce(_found(text, BRACKETED, 1, 2), _found(text, PIECES, 2, 3, 1), _found(text, PLAIN, 1, 2))
 
 
 def title_grams(title: Column) -> Column:
-    return F.regexp_extract(title, r"(?iU)(\d{2,4})\s*(?:g|grams?)\b", 1).try_cast("int")
+    return F.regexp_extract(title, IN_TITLE, 1).try_cast("int")
 
 
 def net_grams(option1: Column, variant_title: Column, product_title: Column) -> Column:
@@ -90,8 +93,8 @@ def net_grams(option1: Column, variant_title: Column, product_title: Column) ->
 
 def harvest_year(parsed: Column, title: Column) -> Column:
     """From the year tags, where the year may stand anywhere; else a year that begins the title."""
-    tagged = [F.regexp_extract(first_tag(parsed, k), r"((?:19|20)\d\d)", 1).try_cast("int") for k in YEAR_KEYS]
-    return F.coalesce(*tagged, F.regexp_extract(title, r"^(?U)((?:19|20)\d\d)\b", 1).try_cast("int"))
+    tagged = [F.regexp_extract(first_tag(parsed, k), ANY_YEAR, 1).try_cast("int") for k in YEAR_KEYS]
+    return F.coalesce(*tagged, F.regexp_extract(title, FIRST_YEAR, 1).try_cast("int"))
 
 
 def producer_hint(parsed: Column, vendor: Column) -> Column:

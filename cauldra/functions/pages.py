@@ -38,6 +38,9 @@ class Node:
         return name in (self.attrs.get("class") or "").split()
 
 
+# Fixed values below: the names of elements, classes and properties that review pages use.
+
+
 class _Builder(HTMLParser):
     def __init__(self):
         super().__init__(convert_charrefs=True)
