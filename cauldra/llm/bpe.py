@@ -105,7 +105,7 @@ class PrefixEncoder:
                 before, a = a, right[a]
             else:
                 before, b = b + 1, left[b]
-        if len(self.seams) > 2_000_000:
+        if len(self.seams) > 300_000:
             self.seams.clear()
         self.seams[key] = fits
         return fits
