@@ -12,6 +12,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -36,7 +37,7 @@ NAMES = {
 LANGUAGES = tuple(NAMES)
 
 #: Labelled rows that the classifier is fitted on, at most (a hash sample of the labelled rows).
-FIT_ROWS = 200_000
+FIT_ROWS = 40_000
 BUCKETS = 1 << 17
 GRAMS = (1, 2, 3, 4)
 SMOOTHING = 0.05
@@ -193,9 +194,10 @@ def identify(docs: DataFrame, key: str, text: str, logp: np.ndarray, keep: list[
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = Scorer(matrix.value)
+        shown = lru_cache(maxsize=CACHED_SENTENCES)(plain)
         for b in batches:
             spans = [sentences(t) if t else [] for t in b["_text"]]
-            flat = [plain(t[i:j]) for t, own in zip(b["_text"], spans) for i, j in own]
+            flat = [shown(t[i:j]) for t, own in zip(b["_text"], spans) for i, j in own]
             told = iter(scorer.score(flat))
             found = []
             for own in spans:
