@@ -14,7 +14,7 @@ from collections.abc import Iterator
 from itertools import permutations
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .canonical import edits
@@ -263,6 +263,17 @@ def forms(names: DataFrame) -> DataFrame:
     return names.mapInPandas(run, FORM)
 
 
+def near_rests(a: str, b: str) -> Column:
+    """Whether two rests may be of one name; it passes all that compare() accepts. No token of one name
+    may be more than two edits off, so the rest tells most strangers apart. A swap is one edit, but two
+    of Levenshtein's: two edits with a swap are at most four, and leave all letters but one as they are.
+    """
+    x, y = F.col(a), F.col(b)
+    letters = lambda c: F.array_join(F.array_sort(F.split(c, "")), "")
+    swapped = (F.levenshtein(x, y, 4) >= 0) & (F.levenshtein(letters(x), letters(y), 2) >= 0)
+    return (x == "") | (y == "") | (F.levenshtein(x, y, 2) >= 0) | x.startswith(y) | y.startswith(x) | swapped
+
+
 def accepted_pairs(known: DataFrame) -> DataFrame:
     """(a, b, score, a_short, b_short): pairs of forms that name one entity, a < b.
 
@@ -284,9 +295,7 @@ def accepted_pairs(known: DataFrame) -> DataFrame:
     blocks = known.mapInPandas(keys, "form string, short boolean, key string, rest string")
     left = blocks.select("key", F.col("form").alias("a"), F.col("short").alias("a_short"), F.col("rest").alias("a_rest"))
     right = blocks.select("key", F.col("form").alias("b"), F.col("short").alias("b_short"), F.col("rest").alias("b_rest"))
-    # No token of one name may be more than two edits off, so the rest tells most strangers apart here.
-    near = (F.col("a_rest") == "") | (F.col("b_rest") == "") | (F.levenshtein("a_rest", "b_rest", 2) >= 0) | F.col("a_rest").startswith(F.col("b_rest")) | F.col("b_rest").startswith(F.col("a_rest"))
-    met = left.join(right, "key").filter("a < b").filter(near).select("a", "b", "a_short", "b_short").distinct()
+    met = left.join(right, "key").filter("a < b").filter(near_rests("a_rest", "b_rest")).select("a", "b", "a_short", "b_short").distinct()
     return met.mapInPandas(judge, "a string, b string, score double, a_short boolean, b_short boolean")
 
 

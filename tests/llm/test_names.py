@@ -49,6 +49,26 @@ def test_link_names(spark):
     assert n.link_names(spark.createDataFrame([], "name string")).count() == 0
 
 
+def test_near_rests_pass_what_compare_accepts(spark):
+    r = random.Random(3)
+
+    def edited(w):
+        i = r.randrange(len(w) - 1)
+        return r.choice((w[:i] + w[i + 1] + w[i] + w[i + 2 :], w[:i] + r.choice("aeioulmn") + w[i:], w[:i] + w[i + 1 :], w[:i] + r.choice("aeioulmn") + w[i + 1 :]))
+
+    words = ["".join(r.choice("bdfglmnrst") + r.choice("aeiou") for _ in range(r.randrange(3, 6))) for _ in range(1500)]
+    pairs = [(w, edited(edited(w))) for w in words] + [("genovar", "gneovvar"), ("gaposan", "glpoasn"), ("abcdef", "badcef")]
+    far = spark.createDataFrame(pairs, "a string, b string").filter(~n.near_rests("a", "b")).collect()
+    assert not [x for x in far if n._token_score((x["a"], False), (x["b"], False))]
+    assert spark.createDataFrame([("genovar", "gohoke"), ("melani", "mirabo")], "a string, b string").filter(n.near_rests("a", "b")).count() == 0
+
+
+def test_swap_and_another_edit_in_one_token(spark):
+    a, b = "Genovar Gohoke Tea Works", "Gneovvar Gohoke Tea Works"
+    got = {r["name"]: r["entity"] for r in n.link_names(spark.createDataFrame([(a,), (b,)], "name string")).collect()}
+    assert got[a] == got[b]
+
+
 def test_sellers_are_no_makers(spark):
     producer = spark.createDataFrame([(1, "North Gate Tea House", ["north gate tea hse", None, " "]), (2, "Steep Street", None)], "producer_id long, canonical_name string, aliases array<string>")
     records = spark.createDataFrame([(("Steep Street",),), (("STEEP STREET",),), ((None,),), (("Northgate Tea House",),)], "payload struct<vendor:string>")
