@@ -147,12 +147,15 @@ def split_words(rest: list[str], vendor: str | None, seller: bool) -> tuple[list
     given, tokens, business = names.read_name(vendor)
     raw = [w for w in re.findall(r"[^\W\d_]+", names.fold(vendor).lower())]
     own, fuzzy = {w for w, _ in tokens} | set(raw) | {given}, [w for w, _ in tokens if len(w) >= 5]
-    item, maker = [], []
+    short = [w for w, cut in tokens if cut]
+    near = []
     for w in rest:
         b = w.rstrip(".")
-        near = b in own or (5 <= len(b) <= names.LONG and any(abs(len(b) - len(o)) <= 2 and canonical.edits(b, o) <= 2 for o in fuzzy))
-        (maker if near else item).append(w)
-    return item, maker
+        cut = (w != b and any(o.startswith(b) for o in own)) or any(b.startswith(o) for o in short)
+        near.append(b in own or cut or (5 <= len(b) <= names.LONG and any(abs(len(b) - len(o)) <= 2 and canonical.edits(b, o) <= 2 for o in fuzzy)))
+    # A pet form of the given name is also an ordinary word ("Sandy Harbor"): it counts before a name.
+    near = [n or (given and names._GIVEN.get(w) == given and any(near[i + 1 : i + 2])) for i, (w, n) in enumerate(zip(rest, near))]
+    return [w for w, n in zip(rest, near) if not n], [w for w, n in zip(rest, near) if n]
 
 
 def is_business(word: str) -> bool:
@@ -161,7 +164,9 @@ def is_business(word: str) -> bool:
 
 
 class Spelling:
-    """Item words by corpus frequency: a rare word close to a frequent one is that one misspelt."""
+    """Item words by corpus frequency: a rare word close to a frequent one is that one misspelt, and so
+    is, of two hardly used words one letter apart, the less used one. Counts are compared with each
+    other only, so that the input's size decides nothing."""
 
     def __init__(self, counts: dict[str, int]):
         self.counts = counts
@@ -181,21 +186,19 @@ class Spelling:
                     if w != word and self.counts[w] >= 10 * own and self.counts[w] >= 3 and (d := canonical.edits(word, w)) <= (2 if len(w) >= 6 else 1):
                         key = (d, -self.counts[w], w)
                         best = key if best is None or key < best else best
+        if best is None and own < 3 and 5 <= len(word) <= names.LONG:
+            close = {w for x in canonical.deletes(word, 1) for w in self.by_delete.get(x, ()) if len(w) >= 5 and (self.counts[w], w) > (own, word) and canonical.edits(word, w) == 1}
+            best = min(((1, -self.counts[w], w) for w in close), default=None)
         if best:
             return [best[2]]
-        if own:
-            return [word]
         for i in range(3, len(word) - 2 if len(word) <= names.LONG else 0):
-            if word[:i] in self.counts and word[i:] in self.counts:
+            if all(self.counts.get(w, 0) >= max(1, 10 * own) for w in (word[:i], word[i:])):
                 return [word[:i], word[i:]]
-        return None
+        return [word] if own else None
 
 
-#: Item words are those used with at least so many different makers.
-MAKERS_OF_A_WORD = 3
-#: The word list that is broadcast has at most this many words: rarer ones are cut by a count that
-#: follows from the number of title words.
-SPELLING_WORDS = 50_000
+#: Words of titles that are neither item nor maker.
+NO_ITEM = sorted({*names._BUSINESS, *names._EMPTY, *_LINKING, "teahouse", "teaworks", "op", "int", "l"})
 
 
 def _sources(records: DataFrame, vendor: DataFrame, reference: DataFrame) -> DataFrame:
@@ -228,55 +231,129 @@ def _read(listings: DataFrame) -> DataFrame:
     return listings.mapInPandas(run, READ)
 
 
-def _word_counts(read: DataFrame) -> dict[str, int]:
-    """Item words with their counts, over all listings whose vendor field names a maker."""
-    words = read.filter(F.col("vendor").isNotNull() & ~F.col("seller")).select("vendor", F.explode(F.array_distinct("item")).alias("w")).filter(F.length("w") >= 3)
-    counted = words.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.approx_count_distinct("vendor").alias("m"))
-    least = max(3, words.count() // SPELLING_WORDS)
-    got = counted.filter((F.col("n") >= least) & (F.col("m") >= MAKERS_OF_A_WORD)).collect()
-    return {r["w"].rstrip("."): r["n"] for r in got if not is_business(r["w"]) and r["w"].rstrip(".") not in _LINKING and r["w"].rstrip(".") not in names._GIVEN}
+def _bare(word: str) -> Column:
+    return F.regexp_replace(word, r"\.$", "")
 
 
-def _settled(read: DataFrame, counts: dict[str, int], reference: DataFrame) -> DataFrame:
+def _used_words(read: DataFrame, producer: DataFrame) -> DataFrame:
+    """(word, role, n): words of items with the listings that use them, of those whose vendor field names
+    a maker, and words of makers' names with the listings and entries that hold them."""
+
+    def spoken(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for name, n in zip(b["name"], b["n"]):
+                own = {*re.findall(r"[^\W\d_]+", names.fold(name).lower()), names.read_name(name)[0]}
+                rows.extend((w, n) for w in own if len(w) >= 2)
+            yield pd.DataFrame(rows, columns=["word", "n"])
+
+    named = read.filter(F.col("vendor").isNotNull() & ~F.col("seller"))
+    item = named.select(F.explode(F.array_distinct("item")).alias("w")).select(_bare("w").alias("word"), F.lit(1).cast("long").alias("n"))
+    typed = named.select(F.col("vendor").alias("name")).unionByName(producer.select(F.col("canonical_name").alias("name"))).unionByName(producer.select(F.explode("aliases").alias("name")))
+    maker = typed.filter("name is not null").groupBy("name").agg(F.count(F.lit(1)).alias("n")).mapInPandas(spoken, "word string, n long")
+    both = item.withColumn("role", F.lit("item")).unionByName(maker.withColumn("role", F.lit("maker")))
+    return both.filter(~F.col("word").isin(NO_ITEM)).groupBy("word", "role").agg(F.sum("n").alias("n"))
+
+
+def _meant(word: str, item: dict[str, int], maker: dict[str, int]) -> tuple[list[str], str | None]:
+    """(item words meant, role) of a title word, by the item and maker words that it may be; no role
+    where it is like none of them."""
+    as_item, as_maker = Spelling(item).correct(word), Spelling(maker).correct(word)
+    said = max((item[w] for w in as_item), default=0) if as_item else 0
+    named = max((maker[w] for w in as_maker), default=0) if as_maker else 0
+    role = None
+    if word in item or word in maker:
+        own = item.get(word, 0)
+        role = "item" if own >= maker.get(word, 0) and not (word not in maker and own < 3 and said <= own and named >= 10 * own) else "maker"
+    elif as_item or as_maker:
+        role = "item" if said >= named else "maker"
+    return as_item or [word], role
+
+
+def word_meanings(read: DataFrame, producer: DataFrame) -> DataFrame:
+    """(word, meant, role) of every title word. Words meet the item and maker words that have a single
+    delete in common with them, or that are a half of them, in joins; nothing is cut by how often it is
+    used."""
+    used = checkpointed(_used_words(read, producer))
+    words = read.select(F.explode("item").alias("w")).select(_bare("w").alias("word")).filter(~F.col("word").isin(NO_ITEM)).distinct()
+    n = F.length("word")
+    deletes = F.expr("transform(sequence(1, length(word)), i -> concat(substring(word, 1, i - 1), substring(word, i + 1)))")
+    whole = F.array("word")
+    keyed = lambda df: df.withColumn("key", F.explode(F.when(n.between(3, names.LONG), F.array_union(whole, deletes)).otherwise(whole)))
+    halves = words.filter(n.between(6, names.LONG)).select("word", F.explode(F.expr("flatten(transform(sequence(3, length(word) - 3), i -> array(substring(word, 1, i), substring(word, i + 1))))")).alias("other"))
+    near = keyed(words).join(keyed(used).withColumnRenamed("word", "other"), "key").select("word", "other", "role", "n")
+    near = near.unionByName(halves.join(used.withColumnRenamed("word", "other"), "other").select("word", "other", "role", "n"))
+    found = near.groupBy("word").agg(F.collect_set(F.struct("other", "role", "n")).alias("near"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            rows = []
+            for word, close in zip(b["word"], b["near"]):
+                by_role: dict[str, dict[str, int]] = {"item": {}, "maker": {}}
+                for c in [] if close is None else close:
+                    by_role[c["role"]][c["other"]] = c["n"]
+                rows.append((word, *_meant(word, by_role["item"], by_role["maker"])))
+            yield pd.DataFrame(rows, columns=["word", "meant", "role"])
+
+    told = checkpointed(words.join(found, "word", "left").mapInPandas(run, "word string, meant array<string>, role string"))
+    # What a word is corrected to may be a spelling that is corrected itself.
+    again = told.select(F.array("word").alias("meant"), F.col("meant").alias("then"))
+    return told.join(again, "meant", "left").select("word", F.coalesce("then", "meant").alias("meant"), "role")
+
+
+def item_and_maker(words: list[tuple[str, list[str] | None, str | None]], named: bool) -> tuple[list[str], list[str]]:
+    """(item words, words of the maker's name) of (title word, item words meant, role) in order. Where the
+    vendor field names the maker, all words are the item's. Else a word's role tells; a given name is the
+    maker's before a word of the maker's; words like no others are the maker's if the title says that it
+    names one (by "by", "from" or a kind of business) and no known one is there, else the item's."""
+    roles = ["business" if is_business(w) else "none" if w.rstrip(".") in _LINKING or (len(w.rstrip(".")) == 1 and w.isascii()) else "item" if named else r for w, _, r in words]
+    if not named:
+        says = any(w in ("by", "from") or (r == "business" and w.rstrip(".") not in ("tea", *names._EMPTY)) for (w, _, _), r in zip(words, roles))
+        unknown = "maker" if says and "maker" not in roles else "item"
+        roles = [r or unknown for r in roles]
+        for i in range(len(words) - 2, -1, -1):
+            if words[i][0] in names._GIVEN:
+                roles[i] = "maker" if roles[i + 1] == "maker" else "item"
+    item = {m for (w, meant, _), r in zip(words, roles) if r == "item" for m in (meant or [w.rstrip(".")])}
+    return sorted(item - _LINKING), [w for (w, _, _), r in zip(words, roles) if r in ("maker", "business") or (r == "none" and w.rstrip(".") not in _LINKING)]
+
+
+def _settled(read: DataFrame, producer: DataFrame, reference: DataFrame) -> DataFrame:
     """Item words corrected, the maker's name as typed, and the type, for every listing."""
     ids = {r["type_name"]: r["type_id"] for r in reference.filter(F.col("type_name").isin(*TYPE_WORDS)).select("type_name", "type_id").collect()}
-    shared = read.sparkSession.sparkContext.broadcast((counts, ids))
+    placed = read.select("payload_id", F.posexplode("item").alias("at", "w")).withColumn("word", _bare("w")).join(word_meanings(read, producer), "word", "left")
+    placed = placed.groupBy("payload_id").agg(F.sort_array(F.collect_list(F.struct("at", "w", "meant", "role"))).alias("words"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words, ids = shared.value
-        correct = lru_cache(100_000)(Spelling(words).correct)
         for b in batches:
             item, maker, kind = [], [], []
-            for vendor, seller, type_id, title_type, own in zip(b["vendor"], b["seller"], b["type_id"], b["title_type"], b["item"]):
-                known, other = [], []
-                for w in own:
-                    if is_business(w):
-                        other.append(w)
-                    elif got := correct(w):
-                        known.extend(got)
-                    else:
-                        other.append(w)
-                named = [w for w in other if w.rstrip(".") not in _LINKING]
+            stated = b["year"].notna() | b["form"].notna() | (b["contents"].str.len() > 0)
+            for vendor, seller, type_id, title_type, words, more in zip(b["vendor"], b["seller"], b["type_id"], b["title_type"], b["words"], stated):
+                told = [] if words is None else [(x["w"], None if x["meant"] is None else list(x["meant"]), x["role"]) for x in words]
+                known, named = item_and_maker(told, vendor is not None and not seller)
                 if vendor is not None and not seller:
                     typed = vendor
                 else:
                     typed = " ".join(named) if any(not is_business(w) and len(w.rstrip(".")) > 1 for w in named) else None
-                item.append(sorted({w for w in known if w not in _LINKING}))
+                item.append(known)
                 maker.append(typed)
-                kind.append(type_id or ids.get(title_type, 0))
+                # A type's word alone in a title ("White Label Service") is no type.
+                kind.append(type_id or (ids.get(title_type, 0) if typed is not None or more else 0))
             yield pd.DataFrame({"payload_id": b["payload_id"], "item": item, "maker_name": maker, "type_id": kind, "year": b["year"].astype("Int32"), "form": b["form"], "contents": b["contents"]})
 
-    return read.mapInPandas(run, "payload_id long, item array<string>, maker_name string, type_id long, year int, form string, contents array<string>")
+    full = read.drop("item", "maker").join(placed, "payload_id", "left")
+    return full.mapInPandas(run, "payload_id long, item array<string>, maker_name string, type_id long, year int, form string, contents array<string>")
 
 
 def listing_classes(records: DataFrame, producer: DataFrame, vendor: DataFrame, reference: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(members, classes): members (payload_id, class), classes (class, maker, item, type_id, year,
-    form, contents). Listings whose title names no item are no members."""
+    form, contents). Listings whose title names no item, or that name neither a maker nor a type, are no
+    members: nothing tells that they are a tea or a vessel."""
     read = checkpointed(_read(_sources(records, vendor, reference)))
-    settled = checkpointed(_settled(read, _word_counts(read), reference))
+    settled = checkpointed(_settled(read, producer, reference))
     makers = names.maker_names(producer, records).unionByName(settled.select(F.col("maker_name").alias("name"))).filter("name is not null").distinct()
     linked = names.link_names(makers).withColumnRenamed("name", "maker_name").withColumnRenamed("entity", "maker")
-    full = settled.join(linked, "maker_name", "left").filter(F.size("item") >= 1)
+    full = settled.join(linked, "maker_name", "left").filter((F.size("item") >= 1) & (F.col("maker").isNotNull() | (F.col("type_id") > 0)))
     what = ["maker", "item", "type_id", "year", "form", "contents"]
     # Null-safe: the class is the hash of what it is, printed with nulls.
     full = checkpointed(full.withColumn("class", F.sha2(F.to_json(F.struct(*what), {"ignoreNullFields": "false"}), 256)))

@@ -66,6 +66,29 @@ def test_groups(spark):
     assert ls.product_groups(table(spark, rows).limit(0), producer, vendor, ref).count() == 0
 
 
+def test_rare_item_words_count(spark):
+    # Words that one maker alone uses, once or twice, and that the frequent words beside them do not tell apart.
+    rows = [(100 + 10 * i + j, (f"2020 {a} {b} Green Tea Loose", mk, "Green Tea", [f"{50 + 10 * j} g"])) for i, (a, b) in enumerate(WORDS) for j, mk in enumerate(MAKERS)]
+    maker = MAKERS[0]
+    rows += [
+        (1, ("2024 Ashen Mule Sencha Loose Leaf", maker, "Sencha", ["100 g"])),
+        (2, ("HOT Ashen Mule Sencha ’24 Whole Leaf", "Dez. Wejini Tea Fty", "sencha", ["3.53 oz"])),
+        (3, (f"{maker}: Ashen Mule Sencha 2024 100 g Loose", "Steep Street", None, ["Default Title"])),
+        (4, ("2024 Hidden Gate Sencha Loose Leaf", maker, "Sencha", ["100 g"])),
+        (5, ("2024 Restless Gate Sencha Loose Leaf", maker, "Sencha", ["100 g"])),
+        (6, ("2024 Ox Gate Sencha Loose Leaf", maker, "Sencha", ["100 g"])),
+        (7, ("2024 Sandy Gate Sencha Loose Leaf", maker, "Sencha", ["100 g"])),
+        (8, ("White Label Service", "Steep Street", None, None)),
+        (9, ("White Label Service", "Steep Street", None, None)),
+        (10, ("2024 Restlesss Gate Sencha Loose Leaf", maker, "Sencha", ["100 g"])),
+    ]
+    producer = spark.createDataFrame([(i, mk, None) for i, mk in enumerate(MAKERS)], "producer_id long, canonical_name string, aliases array<string>")
+    vendor = spark.createDataFrame([("Steep Street",)], "display_name string")
+    ref = spark.createDataFrame([(1, "White Tea", None), (4, "Green Tea", ["Lu Cha"]), (14, "Sencha", None)], "type_id long, type_name string, aka array<string>")
+    groups = ls.product_groups(table(spark, rows), producer, vendor, ref)
+    assert {tuple(r) for r in ls.listing_pairs(groups).collect()} == {(1, 2), (1, 3), (2, 3), (5, 10)}
+
+
 def test_reinforcement_prefers_telling_terms(spark):
     terms = spark.createDataFrame([(c, t) for c, ts in {"a": "n1 n2 m1 f", "b": "n1 n2 m1 f", "c": "n1 n3 m2 f", "d": "n4 n3 m3 f"}.items() for t in ts.split()], "class string, term string")
     pairs = spark.createDataFrame([("a", "b"), ("a", "c"), ("b", "c"), ("c", "d")], "a string, b string")
