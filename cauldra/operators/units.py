@@ -122,6 +122,18 @@ def mentions(text: str) -> tuple[tuple[float, str, float], ...]:
 TWICE = math.log(1.06)
 #: Shipping mass over net mass, as log: packaging adds from nothing to a half.
 PACKED = (0.0, math.log(1.5))
+#: Grams of a millilitre, as log: from loose leaves to liquids.
+DENSITY = (math.log(0.1), math.log(1.1))
+
+
+def _off_shipping(amount: float, unit: str, shipping_grams: float | None) -> float:
+    """Log residual of a content against the shipping mass, which is its mass (density times volume)
+    and packaging; 0 where no mass is given."""
+    if not shipping_grams or shipping_grams <= 0:
+        return 0.0
+    over = math.log(shipping_grams / amount)
+    light, heavy = DENSITY if unit == "ml" else (0.0, 0.0)
+    return max(0.0, PACKED[0] + light - over, over - PACKED[1] - heavy)
 
 
 @lru_cache(maxsize=200_000)
@@ -130,31 +142,29 @@ def resolve(text: str, shipping_grams: float | None = None) -> tuple[float, str,
 
     All mentions are read as statements of one content. Every combination of their readings is scored
     by the identities; grams count when a weight is stated twice. Residuals below the rounding
-    tolerance count as nothing.
+    tolerance count as nothing. The prior takes part in the choice, as much as a residual of its size
+    does, but not in the residual given or in whether the combination is the only one that fits.
     """
     said = [m for m in mentions(text) if m[1] in UNITS]
     if not said:
         return None
-    best: list[tuple[float, float, str]] = []
+    best: list[tuple[float, float, str, float]] = []
     for combo in product(*(UNITS[s] for _, s, _ in said[:4])):
         amounts = [n * k * f for (n, _, k), (_, f, _) in zip(said, combo)]
         kinds = [u for u, _, _ in combo]
-        score = sum(p for _, _, p in combo)
+        fit = 0.0
         for i in range(1, len(amounts)):
             # A content of water has the mass of its volume; leaves and liquids both lie near it.
             gap = abs(math.log(amounts[i] / amounts[0]))
-            score += max(0.0, gap - TWICE) + (0.5 if kinds[i] != kinds[0] else 0.0)
+            fit += max(0.0, gap - TWICE) + (0.5 if kinds[i] != kinds[0] else 0.0)
         metric = [i for i, (_, s, _) in enumerate(said[:4]) if UNITS[s][0][1] in (1.0, 1000.0) or s == "gr"]
         use = metric[0] if metric else 0
-        if shipping_grams and shipping_grams > 0 and kinds[use] == "g":
-            over = math.log(shipping_grams / amounts[use])
-            # A light hint: sellers often leave shipping weights at their default.
-            score += 0.1 * max(0.0, PACKED[0] - over, over - PACKED[1])
-        best.append((score, amounts[use], kinds[use]))
+        fit += _off_shipping(amounts[use], kinds[use], shipping_grams)
+        best.append((fit + sum(p for _, _, p in combo), amounts[use], kinds[use], fit))
     best.sort()
-    score, amount, unit = best[0]
-    unique = not any(s - score < 0.05 and (u != unit or abs(math.log(a / amount)) > TWICE) for s, a, u in best[1:])
-    return amount, unit, score, unique
+    _, amount, unit, fit = best[0]
+    unique = not any(f - fit < 0.05 and (u != unit or abs(math.log(a / amount)) > TWICE) for _, a, u, f in best[1:])
+    return amount, unit, fit, unique
 
 
 def quantity(option1: str | None, title: str | None, grams: float | None) -> tuple[int, str, float, bool] | None:

@@ -103,6 +103,17 @@ def test_identities_choose_units_and_flag():
     assert units.resolve("100 g")[3] is True
 
 
+def test_shipping_mass_outvotes_a_prior_and_ties_are_flagged(spark):
+    # Half a litre of loose leaves ships as 150 g; 16 oz of mass could not.
+    assert units.resolve("16 oz", 150.0)[1] == "ml" and units.resolve("16 oz", 500.0)[1] == "g"
+    # Grams and grains both fit without columns, grams alone with them; a weight stated twice is one.
+    assert units.resolve("50 gr")[3] is False and units.resolve("50 gr", 60.0)[:2] == (50.0, "g") and units.resolve("50 gr", 60.0)[3] is True
+    assert units.resolve("3.5 oz (100 g)", 120.0)[3] is True
+    rows = [rec("1", [{"id": 1, "option1": "8 oz", "title": "", "grams": 250}, {"id": 2, "option1": "50 g", "title": "", "grams": 60}])]
+    got = {r["variant_id"]: (r["amount"], r["unit"], r["is_unique"]) for r in units.variant_quantities(spark.createDataFrame(rows, RECORD)).collect()}
+    assert got == {1: (227, "g", False), 2: (50, "g", True)}
+
+
 def test_variant_quantities_prefer_option_and_latest(spark):
     rows = [rec("1", [{"id": 1, "option1": "50 g", "title": "70 g", "grams": 60}, {"id": 2, "option1": "Gift Box", "title": "Gift Box / 9 g", "grams": None}, {"id": 3, "option1": None, "title": None}, {"id": None, "option1": "1 g"}, None]), rec("1", [{"id": 1, "option1": "55 g", "title": "", "grams": 0}], at=datetime(2026, 2, 1))]
     got = {r["variant_id"]: (r["amount"], r["unit"]) for r in units.variant_quantities(spark.createDataFrame(rows, RECORD)).collect()}
