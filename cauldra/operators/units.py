@@ -148,19 +148,26 @@ def resolve(text: str, shipping_grams: float | None = None) -> tuple[float, str,
     said = [m for m in mentions(text) if m[1] in UNITS]
     if not said:
         return None
+    metric = [i for i, (_, s, _) in enumerate(said) if UNITS[s][0][1] in (1.0, 1000.0) or s == "gr"]
+    use = metric[0] if metric else 0
+    sizes = [n * k for n, _, k in said]
     best: list[tuple[float, float, str, float]] = []
-    for combo in product(*(UNITS[s] for _, s, _ in said[:4])):
-        amounts = [n * k * f for (n, _, k), (_, f, _) in zip(said, combo)]
-        kinds = [u for u, _, _ in combo]
-        fit = 0.0
-        for i in range(1, len(amounts)):
-            # A content of water has the mass of its volume; leaves and liquids both lie near it.
-            gap = abs(math.log(amounts[i] / amounts[0]))
-            fit += max(0.0, gap - TWICE) + (0.5 if kinds[i] != kinds[0] else 0.0)
-        metric = [i for i, (_, s, _) in enumerate(said[:4]) if UNITS[s][0][1] in (1.0, 1000.0) or s == "gr"]
-        use = metric[0] if metric else 0
-        fit += _off_shipping(amounts[use], kinds[use], shipping_grams)
-        best.append((fit + sum(p for _, _, p in combo), amounts[use], kinds[use], fit))
+    # Only the first mention and the one that counts are compared with others: given their readings, each
+    # other mention takes its best one by itself, so any number of mentions is read.
+    for first, used in product(UNITS[said[0][1]], UNITS[said[use][1]] if use else (None,)):
+        score = fit = 0.0
+        for i, (_, symbol, _) in enumerate(said):
+            options = []
+            for unit, factor, prior in (first,) if not i else (used,) if i == use else UNITS[symbol]:
+                # A content of water has the mass of its volume; leaves and liquids both lie near it.
+                gap = abs(math.log(sizes[i] * factor / (sizes[0] * first[1])))
+                off = max(0.0, gap - TWICE) + (0.5 if unit != first[0] else 0.0)
+                options.append((off + prior, off))
+            score += min(options)[0]
+            fit += min(off for _, off in options)
+        unit, factor, _ = used or first
+        shipped = _off_shipping(sizes[use] * factor, unit, shipping_grams)
+        best.append((score + shipped, sizes[use] * factor, unit, fit + shipped))
     best.sort()
     _, amount, unit, fit = best[0]
     unique = not any(f - fit < 0.05 and (u != unit or abs(math.log(a / amount)) > TWICE) for _, a, u, f in best[1:])

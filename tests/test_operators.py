@@ -114,6 +114,11 @@ def test_shipping_mass_outvotes_a_prior_and_ties_are_flagged(spark):
     assert got == {1: (227, "g", False), 2: (50, "g", True)}
 
 
+def test_all_statements_of_a_text_count():
+    assert units.resolve("8 oz, 8 oz, 8 oz, 8 oz, 227 g")[:2] == (227.0, "g")
+    assert units.resolve(" / ".join(["8 oz"] * 60))[1] == "g"
+
+
 def test_variant_quantities_prefer_option_and_latest(spark):
     rows = [rec("1", [{"id": 1, "option1": "50 g", "title": "70 g", "grams": 60}, {"id": 2, "option1": "Gift Box", "title": "Gift Box / 9 g", "grams": None}, {"id": 3, "option1": None, "title": None}, {"id": None, "option1": "1 g"}, None]), rec("1", [{"id": 1, "option1": "55 g", "title": "", "grams": 0}], at=datetime(2026, 2, 1))]
     got = {r["variant_id"]: (r["amount"], r["unit"]) for r in units.variant_quantities(spark.createDataFrame(rows, RECORD)).collect()}
