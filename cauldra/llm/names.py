@@ -301,14 +301,26 @@ def accepted_pairs(known: DataFrame) -> DataFrame:
 
 def entity_links(pairs: DataFrame) -> DataFrame:
     """(a, b) links for clustering. Short forms fit several entities, so they never join two: each
-    keeps only its best link to a form written in full."""
+    keeps only its best link to a form written in full, or else to a short form that has one."""
+    from ..session import checkpointed
+
     full = pairs.filter(~F.col("a_short") & ~F.col("b_short")).select("a", "b")
     mixed = pairs.filter(F.col("a_short") != F.col("b_short")).select(F.when(F.col("a_short"), F.col("a")).otherwise(F.col("b")).alias("s"), F.when(F.col("a_short"), F.col("b")).otherwise(F.col("a")).alias("f"), "score")
     best = mixed.groupBy("s").agg(F.min(F.struct((-F.col("score")).alias("n"), "f")).alias("m")).select(F.col("s").alias("a"), F.col("m.f").alias("b"))
-    # Short forms that no full form explains may still be spellings of each other.
-    both = pairs.filter(F.col("a_short") & F.col("b_short"))
-    explained = best.select(F.col("a").alias("x"))
-    both = both.join(explained, both["a"] == explained["x"], "left_anti").join(explained, both["b"] == explained["x"], "left_anti").select("a", "b")
+    # Short forms that no full form explains join their best explained short form, round by round; those
+    # that nothing leads to a full form may still be spellings of each other.
+    both = pairs.filter(F.col("a_short") & F.col("b_short")).select("a", "b", "score")
+    sides = both.select(F.col("a").alias("s"), F.col("b").alias("f"), "score").unionByName(both.select(F.col("b").alias("s"), F.col("a").alias("f"), "score"))
+    best = checkpointed(best)
+    while True:
+        explained = best.select(F.col("a").alias("x"))
+        sides = checkpointed(sides.join(explained, sides["s"] == explained["x"], "left_anti"))
+        led = sides.join(explained, sides["f"] == explained["x"], "left_semi")
+        led = checkpointed(led.groupBy("s").agg(F.min(F.struct((-F.col("score")).alias("n"), "f")).alias("m")).select(F.col("s").alias("a"), F.col("m.f").alias("b")))
+        if led.isEmpty():
+            break
+        best = checkpointed(best.unionByName(led))
+    both = sides.filter("s < f").select(F.col("s").alias("a"), F.col("f").alias("b"))
     return full.unionByName(best).unionByName(both)
 
 

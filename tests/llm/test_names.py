@@ -69,6 +69,12 @@ def test_swap_and_another_edit_in_one_token(spark):
     assert got[a] == got[b]
 
 
+def test_short_forms_join_by_explained_ones(spark):
+    rows = [("F", "S1", 0.9, False, True), ("S1", "S2", 0.9, True, True), ("G", "T1", 0.9, False, True), ("S2", "T1", 0.8, True, True), ("S2", "S3", 0.9, True, True), ("U1", "U2", 0.9, True, True)]
+    links = {tuple(sorted(r)) for r in n.entity_links(spark.createDataFrame(rows, "a string, b string, score double, a_short boolean, b_short boolean")).collect()}
+    assert links == {("F", "S1"), ("S1", "S2"), ("S2", "S3"), ("G", "T1"), ("U1", "U2")}
+
+
 def test_sellers_are_no_makers(spark):
     producer = spark.createDataFrame([(1, "North Gate Tea House", ["north gate tea hse", None, " "]), (2, "Steep Street", None)], "producer_id long, canonical_name string, aliases array<string>")
     records = spark.createDataFrame([(("Steep Street",),), (("STEEP STREET",),), ((None,),), (("Northgate Tea House",),)], "payload struct<vendor:string>")
