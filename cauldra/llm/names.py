@@ -203,6 +203,29 @@ def _token_score(a: tuple[str, bool], b: tuple[str, bool]) -> tuple[float, int]
     return (s, d) if s >= TOKEN_SIMILARITY or (d == 1 and len(x) >= 5) else None
 
 
+def _assigned(left: list[tuple[str, bool]], right: list[tuple[str, bool]]) -> list[tuple[int, float]]:
+    """(edits, least similarity) of the ways to pair off as many tokens on either side, up to three edits;
+    equal tokens are paired first, and of ways through the same tokens the best one is kept."""
+    open_right, rest = list(right), []
+    for x in left:
+        if x in open_right:
+            open_right.remove(x)
+        else:
+            rest.append(x)
+    states: dict[int, dict[int, float]] = {0: {0: 1.0}}
+    for x in rest:
+        ways: dict[int, dict[int, float]] = {}
+        for j, y in enumerate(open_right):
+            if t := _token_score(x, y):
+                for taken, by_edits in states.items():
+                    for off, s in by_edits.items() if not taken >> j & 1 else ():
+                        if off + t[1] <= 3:
+                            now = ways.setdefault(taken | 1 << j, {})
+                            now[off + t[1]] = max(now.get(off + t[1], 0.0), min(s, t[0]))
+        states = ways
+    return [w for by_edits in states.values() for w in by_edits.items()]
+
+
 def compare(a: tuple, b: tuple) -> float:
     """Similarity of two forms (given, tokens, business), 0 if they are not the same name."""
     (ga, ta, ba), (gb, tb, bb) = a, b
@@ -223,6 +246,8 @@ def compare(a: tuple, b: tuple) -> float:
                 off = sum(d for _, d in scores)
                 if off <= 2 or (off == 3 and (ga or len(left) > 2)):
                     best = max(best, min(s for s, _ in scores) - 0.01 * off)
+    elif len(left) == len(right):
+        best = max((s - 0.01 * off for off, s in _assigned(left, right)), default=0.0)
     elif abs(len(left) - len(right)) == 1 and not any(s for _, s in (*left, *right)):
         fewer, more = sorted((left, right), key=len)
         one = "".join(w for w, _ in fewer)

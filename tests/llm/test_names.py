@@ -75,6 +75,18 @@ def test_short_forms_join_by_explained_ones(spark):
     assert links == {("F", "S1"), ("S1", "S2"), ("S2", "S3"), ("G", "T1"), ("U1", "U2")}
 
 
+def test_names_of_many_tokens():
+    long = "Kotari Beluma Sivaneto Golipar Wemado Tazinel Tea Works"
+    for other in ("Golipar Kotari Belumma Sivaneto Tazinel Wemado Tea Works", "K. Beluma S. Golipar Wemado Tazinle Tea Wks"):
+        assert n.compare(n.read_name(long), n.read_name(other)) > 0
+    assert n.compare(n.read_name(long), n.read_name("Kotari Beluma Sivaneto Golipar Wemado Hajenis Tea Works")) == 0
+    for a, b in SAME + OTHER:
+        (_, x, _), (_, y, _) = n.read_name(a), n.read_name(b)
+        if len(x) == len(y):
+            every = [t for order in n.permutations(y) if all(t := [n._token_score(p, q) for p, q in zip(x, order)])]
+            assert bool(n._assigned(x, y)) == any(sum(d for _, d in t) <= 3 for t in every)
+
+
 def test_sellers_are_no_makers(spark):
     producer = spark.createDataFrame([(1, "North Gate Tea House", ["north gate tea hse", None, " "]), (2, "Steep Street", None)], "producer_id long, canonical_name string, aliases array<string>")
     records = spark.createDataFrame([(("Steep Street",),), (("STEEP STREET",),), ((None,),), (("Northgate Tea House",),)], "payload struct<vendor:string>")
