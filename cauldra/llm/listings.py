@@ -1,18 +1,21 @@
 """Listings of the same product, by bipartite reinforcement of terms and pairs.
 
-A listing is read into terms: words of the named item, maker, type, harvest year, form and net
-contents. Listings with the same terms are one class. Classes that share two item words, year and form
-are candidate pairs. Then term weights and pair scores reinforce each other: a pair scores by the
-weight of the terms it shares over that of all its terms, a term weighs as much as the pairs sharing it
-score on average, round by round through joins on shared terms until the weights stand still. Pairs
-over the threshold pass an exact check of what makes a product and are clustered.
+A listing is read into terms: words of its title, maker, type, harvest year, form and net contents.
+Listings with the same terms are one class. Classes that share two words, year and form are candidate
+pairs. Then term weights and pair scores reinforce each other: a pair scores by the weight of the terms
+it shares over that of all its terms, a term weighs as much as it is shared in the pairs that have it,
+round by round through joins on terms until the weights stand still. So words of advertising, which
+come and go between listings of one product, lose their weight, and words of items keep it. Pairs over
+the threshold are matches if their contents agree, and are clustered.
 """
 
 from __future__ import annotations
 
 import re
+import warnings
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import groupby
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -23,11 +26,6 @@ from ..session import checkpointed
 from . import canonical, names
 from .components import components
 
-#: Phrases of advertising and notices in titles.
-DRESSING = (
-    r"\[sale\]|★ ?new ★|\bhot\b|top grade|hand picked|limited edition|100% natural|best seller!?|free shipping|2-day dispatch|great gift idea|"
-    r"staff favourite|\bpremium\b|\borganic\b|\bauthentic\b|\bon sale\b|\bnew arrival\b|\(please read\)|- digital\b|\bsale\b"
-)
 #: Words for a form.
 FORMS = {
     "loose": r"loose[- ]?leaf|whole[- ]?leaf|loose",
@@ -37,38 +35,6 @@ FORMS = {
     "pearls": r"dragon (?:balls|pearls)|long zhu|tea pearls|pearls",
     "tin": r"powder tin|tea powder|powder|tin",
 }
-#: Further names of types in titles, by the name of the reference entry.
-TYPE_WORDS = {
-    "Raw Pu-erh": "raw pu-erh tea|raw pu'er|raw puer|raw pu-erh|sheng pu-erh tea|sheng pu-erh|sheng puer|sheng pu'er|sheng",
-    "Ripe Pu-erh": "ripe pu-erh tea|ripe pu'er|ripe puer|ripe pu-erh|shou pu-erh tea|shou pu-erh|shou puer|shou pu'er|cooked pu-erh|shou",
-    "White Tea": "white tea|bai cha|white",
-    "Green Tea": "green tea|lu cha|green",
-    "Yellow Tea": "yellow tea|huang cha|yellow",
-    "Black Tea": "black tea|hong cha|black",
-    "Dark Tea": "dark tea|hei cha|heicha|dark",
-    "Rock Oolong": "rock oolong tea|rock oolong|yancha|cliff tea",
-    "Dancong Oolong": "dancong oolong|phoenix oolong|dancong",
-    "High Mountain Oolong": "high mountain oolong|hi-mountain oolong|gaoshan oolong|gaoshan cha",
-    "Jasmine Tea": "jasmine tea|moli hua cha|jasmine",
-    "Herbal Infusion": "herbal infusion|tisane",
-    "Matcha": "matcha powder|matcha",
-    "Sencha": "sencha tea|sencha",
-    "Hojicha": "hojicha|houjicha|roasted bancha",
-    "Gyokuro": "gyokuro tea|gyokuro",
-    "Genmaicha": "genmaicha|brown rice tea",
-    "Chai Blend": "chai blend|masala chai|spiced tea|chai",
-    "Teapot": "teapot|tea pot|kyusu",
-    "Gaiwan": "gaiwan|lidded bowl",
-    "Tea Cup": "tea cup|teacup|tasting cup|cha bei",
-    "Fairness Pitcher": "fairness pitcher|cha hai|gong dao bei",
-    "Tea Tray": "tea tray|cha pan",
-    "Tea Pet": "tea pet|cha chong",
-    "Kettle": "kettle|water boiler",
-    "Storage Jar": "storage jar|tea caddy|caddy",
-    "Sampler Set": "sampler set|tasting kit|discovery box",
-    "Subscription Box": "subscription box|monthly tea club|monthly club|tea club",
-}
-
 _NUM_UNIT = units._MENTION.pattern.replace(f"({units._NUM})", f"(?:{units._NUM})").replace("([½¼¾⅓⅔⅛])", "[½¼¾⅓⅔⅛]").replace(f"({units._UNIT})", f"(?:{units._UNIT})")
 _WORD_UNIT = re.sub(r"\((?!\?)", "(?:", units._WORD_NUM.pattern)
 _HAN_UNIT = re.sub(r"\((?!\?)", "(?:", units._HAN_NUM.pattern)
@@ -82,16 +48,64 @@ _CONTENT = re.compile(
     re.I,
 )
 _YEAR = re.compile(r"(?<!\d)((?:19|20)\d\d)(?!\d)|[’'‘](\d\d)(?!\d)")
-_DRESSING = re.compile(DRESSING, re.I)
 _FORM = re.compile("|".join(rf"(?P<{k}>\b(?:{v})\b)" for k, v in FORMS.items()), re.I)
-_LINKING = frozenset("of the by from and with a an in for tea teas set please read".split())
-
-
-@lru_cache(maxsize=1)
-def _types() -> tuple[re.Pattern, dict[str, str]]:
-    words = {w: t for t, ws in TYPE_WORDS.items() for w in ws.split("|")}
-    pattern = re.compile(r"(?<![^\W\d_])(?:" + "|".join(map(re.escape, sorted(words, key=len, reverse=True))) + r")(?![^\W\d_])", re.I)
-    return pattern, words
+_LINKING = frozenset("of the by from and with a an in for tea teas set".split())
+
+
+_TITLE_WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
+
+
+class TypeWords:
+    """The names of types as titles write them, all from the reference list: whole names, and names
+    without a last word that names of several entries end with ("White" for "White Tea")."""
+
+    def __init__(self, names_of: list[tuple[int, str]]):
+        whole = {(i, canonical.spaced(n)) for i, n in names_of if n}
+        cut = {(i, tuple(n.split())) for i, n in names_of if n and len(n.split()) > 1}
+        ends: dict[str, set[int]] = {}
+        for i, words in cut:
+            ends.setdefault(canonical.spaced(words[-1]), set()).add(i)
+        heads: dict[str, set[int]] = {}
+        for i, words in cut:
+            if len(ends[canonical.spaced(words[-1])]) > 1 and (head := canonical.spaced(" ".join(words[:-1]))) not in ends:
+                heads.setdefault(canonical.compact(head), set()).add(i)
+        self.exact: dict[str, int] = {h: min(i) for h, i in heads.items() if len(i) == 1}
+        self.exact |= {canonical.compact(n): i for i, n in sorted(whole, reverse=True)}
+        self.longest = max((len(n.split()) for _, n in whole), default=0) + 1
+        self.reference = canonical.Reference([(i, n) for i, n in names_of if n])
+        self.tokens = canonical.Reference([(0, canonical.compact(canonical.spaced(w))) for _, n in names_of if n for w in n.split() if len(w) > 3])
+        self._near = lru_cache(100_000)(self._near_window)
+        self._token = lru_cache(100_000)(lambda w: bool(self.tokens.by_delete.get(w)) or bool(self.tokens.candidates(w)))
+
+    def _near_window(self, key: str) -> tuple[int, int] | None:
+        """(edits, entry) of the closest name to a window of words, None if it is none's."""
+        best = None
+        for entry, s in self.reference.candidates(key):
+            d = canonical.edits(key, canonical.compact(s))
+            if 0 < d <= min(canonical.edits_allowed(key), canonical.edits_allowed(canonical.compact(s))) and (best is None or (d, entry) < best):
+                best = (d, entry)
+        return best
+
+    def find(self, text: str, own: int = 0) -> tuple[int, int, int] | None:
+        """(start, end, entry) of the words that name a type: those of the listing's own type before
+        others, then more letters, an error costing two of them; later ones on ties."""
+        words = [(m.start(), m.end(), canonical.compact(canonical.spaced(m[0]))) for m in _TITLE_WORD.finditer(text)]
+        best = None
+        for i in range(len(words)):
+            key, alike = "", False
+            for j in range(i, min(i + self.longest, len(words))):
+                if j > i and text[words[j - 1][1] : words[j][0]].strip(" -"):
+                    break
+                key += words[j][2]
+                alike = alike or self._token(words[j][2])
+                entry, off = self.exact.get(key), 0
+                if entry is None and alike and len(key) >= 6 and (near := self._near(key)):
+                    off, entry = near
+                if entry is not None:
+                    rank = (entry == own, len(key) - 2 * off, words[i][0])
+                    if best is None or rank > best[0]:
+                        best = (rank, (words[i][0], words[j][1], entry))
+        return best and best[1]
 
 
 def contents(variants: list[tuple[str | None, str | None]], title: str | None) -> list[tuple[str, int]]:
@@ -112,23 +126,20 @@ def same_contents(a: list[tuple[str, int]], b: list[tuple[str, int]]) -> bool:
     return len(a) == len(b) and all(x[0] == y[0] and abs(x[1] - y[1]) <= 0.03 * max(x[1], y[1]) for x, y in zip(a, b))
 
 
-def read_title(title: str) -> tuple[int | None, str | None, str | None, list[str]]:
-    """(year, form, type name, remaining words) of a title. The remaining words are those of the named
-    item and the maker, lower case, in order, camel case and hyphens taken apart."""
+def read_title(title: str, types: TypeWords, own: int = 0) -> tuple[int | None, str | None, int, list[str]]:
+    """(year, form, type id or 0, remaining words) of a title. The remaining words are those of the
+    named item, of the maker and of advertising, lower case, in order, camel case and hyphens apart."""
     t = title.replace("“", '"').replace("”", '"')
-    t = _DRESSING.sub(" ", t)
     t = _CONTENT.sub(" | ", t)
     year = None
     if m := _YEAR.search(t):
         year = int(m[1]) if m[1] else (2000 if int(m[2]) < 60 else 1900) + int(m[2])
         t = t[: m.start()] + " | " + t[m.end() :]
-    pattern, words = _types()
-    kind = None
-    # A type word is also an ordinary word ("White Crane"): the longest type phrase counts.
-    found = sorted(pattern.finditer(t), key=lambda m: (-len(m[0].split()), -len(m[0])))
-    if found:
-        kind = words[found[0][0].lower()]
-        t = t[: found[0].start()] + " | " + t[found[0].end() :]
+    kind = 0
+    # A type word is also an ordinary word ("White Crane"): find() says which one counts.
+    if at := types.find(t, own):
+        kind = at[2]
+        t = t[: at[0]] + " | " + t[at[1] :]
     form = None
     found = sorted(_FORM.finditer(t), key=lambda m: -len(m[0]))
     if found:
@@ -212,15 +223,27 @@ def _sources(records: DataFrame, vendor: DataFrame, reference: DataFrame) -> Dat
     return out.select("payload_id", "title", F.when(~blank, F.col("vendor")).alias("vendor"), F.coalesce("seller", F.lit(False)).alias("seller"), F.coalesce("type_id", F.lit(0).cast("long")).alias("type_id"), "variants")
 
 
-READ = "payload_id long, vendor string, seller boolean, type_id long, year int, form string, title_type string, item array<string>, maker array<string>, contents array<string>"
+READ = "payload_id long, vendor string, seller boolean, type_id long, year int, form string, title_type long, item array<string>, maker array<string>, contents array<string>"
+
 
+def type_names(reference: DataFrame) -> list[tuple[int, str]]:
+    """(type_id, name) of a reference (type_id, type_name, aka), which every worker gets: a list that
+    people choose from, at most ``canonical.BROADCAST_NAMES`` names; a longer one raises ``ValueError``."""
+    listed = [(r["entry"], r["name"]) for r in canonical._names(reference, "type_id", "type_name", "aka").limit(canonical.BROADCAST_NAMES + 1).collect()]
+    if len(listed) > canonical.BROADCAST_NAMES:
+        raise ValueError(f"more than {canonical.BROADCAST_NAMES} names of types")
+    return listed
+
+
+def _read(listings: DataFrame, reference: DataFrame) -> DataFrame:
+    shared = listings.sparkSession.sparkContext.broadcast(type_names(reference))
 
-def _read(listings: DataFrame) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        types = TypeWords(shared.value)
         for b in batches:
             rows = []
             for p, title, vendor, seller, type_id, variants in zip(b["payload_id"], b["title"], b["vendor"], b["seller"], b["type_id"], b["variants"]):
-                year, form, kind, rest = read_title(title) if title else (None, None, None, [])
+                year, form, kind, rest = read_title(title, types, type_id) if title else (None, None, 0, [])
                 item, maker = split_words(rest, vendor, seller)
                 own = [] if variants is None else [(v["o"], v["t"]) for v in variants if v is not None]
                 rows.append((p, vendor, seller, type_id, year, form, kind, item, maker, [f"{u}:{a}" for u, a in contents(own, title)]))
@@ -315,12 +338,17 @@ def item_and_maker(words: list[tuple[str, list[str] | None, str | None]], named:
             if words[i][0] in names._GIVEN:
                 roles[i] = "maker" if roles[i + 1] == "maker" else "item"
     item = {m for (w, meant, _), r in zip(words, roles) if r == "item" for m in (meant or [w.rstrip(".")])}
-    return sorted(item - _LINKING), [w for (w, _, _), r in zip(words, roles) if r in ("maker", "business") or (r == "none" and w.rstrip(".") not in _LINKING)]
+    # Words of business belong to a name only where they stand in a row with one ("Limited Edition").
+    maker: list[str] = []
+    for is_item, run in groupby(zip(words, roles), key=lambda x: x[1] == "item"):
+        row = [] if is_item else [(w, r) for (w, _, _), r in run]
+        if any(r == "maker" for _, r in row):
+            maker += [w for w, r in row if r != "none" or w.rstrip(".") not in _LINKING]
+    return sorted(item - _LINKING), maker
 
 
-def _settled(read: DataFrame, producer: DataFrame, reference: DataFrame) -> DataFrame:
+def _settled(read: DataFrame, producer: DataFrame) -> DataFrame:
     """Item words corrected, the maker's name as typed, and the type, for every listing."""
-    ids = {r["type_name"]: r["type_id"] for r in reference.filter(F.col("type_name").isin(*TYPE_WORDS)).select("type_name", "type_id").collect()}
     placed = read.select("payload_id", F.posexplode("item").alias("at", "w")).withColumn("word", _bare("w")).join(word_meanings(read, producer), "word", "left")
     placed = placed.groupBy("payload_id").agg(F.sort_array(F.collect_list(F.struct("at", "w", "meant", "role"))).alias("words"))
 
@@ -338,26 +366,23 @@ def _settled(read: DataFrame, producer: DataFrame, reference: DataFrame) -> Data
                 item.append(known)
                 maker.append(typed)
                 # A type's word alone in a title ("White Label Service") is no type.
-                kind.append(type_id or (ids.get(title_type, 0) if typed is not None or more else 0))
+                kind.append(type_id or (title_type if typed is not None or more else 0))
             yield pd.DataFrame({"payload_id": b["payload_id"], "item": item, "maker_name": maker, "type_id": kind, "year": b["year"].astype("Int32"), "form": b["form"], "contents": b["contents"]})
 
     full = read.drop("item", "maker").join(placed, "payload_id", "left")
     return full.mapInPandas(run, "payload_id long, item array<string>, maker_name string, type_id long, year int, form string, contents array<string>")
 
 
-def listing_classes(records: DataFrame, producer: DataFrame, vendor: DataFrame, reference: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(members, classes): members (payload_id, class), classes (class, maker, item, type_id, year,
-    form, contents). Listings whose title names no item, or that name neither a maker nor a type, are no
-    members: nothing tells that they are a tea or a vessel."""
-    read = checkpointed(_read(_sources(records, vendor, reference)))
-    settled = checkpointed(_settled(read, producer, reference))
+def settled_listings(records: DataFrame, producer: DataFrame, vendor: DataFrame, reference: DataFrame) -> DataFrame:
+    """(payload_id, maker, item, type_id, year, form, contents): every listing whose title names an item,
+    and that names a maker or a type. ``item`` holds all words of the title that are not the maker's or
+    the type's, those of advertising, too."""
+    read = checkpointed(_read(_sources(records, vendor, reference), reference))
+    settled = checkpointed(_settled(read, producer))
     makers = names.maker_names(producer, records).unionByName(settled.select(F.col("maker_name").alias("name"))).filter("name is not null").distinct()
     linked = names.link_names(makers).withColumnRenamed("name", "maker_name").withColumnRenamed("entity", "maker")
     full = settled.join(linked, "maker_name", "left").filter((F.size("item") >= 1) & (F.col("maker").isNotNull() | (F.col("type_id") > 0)))
-    what = ["maker", "item", "type_id", "year", "form", "contents"]
-    # Null-safe: the class is the hash of what it is, printed with nulls.
-    full = checkpointed(full.withColumn("class", F.sha2(F.to_json(F.struct(*what), {"ignoreNullFields": "false"}), 256)))
-    return full.select("payload_id", "class"), full.groupBy("class").agg(*[F.first(w).alias(w) for w in what])
+    return checkpointed(full.drop("maker_name"))
 
 
 def _unit(content: Column) -> Column:
@@ -368,83 +393,158 @@ def _amount(content: Column) -> Column:
     return F.substring_index(content, ":", -1).cast("double")
 
 
-def class_terms(classes: DataFrame) -> DataFrame:
-    """(class, term), distinct. An unknown maker or type gives no term; a missing year or form is a
-    term like others. Amounts give a term for each of two shifted scales, so that amounts within the
-    tolerance share at least one."""
-    step = 0.08
-    place = lambda c, shift: F.concat_ws(":", F.lit(f"c{shift}"), _unit(c), F.floor(F.log(_amount(c)) / step + shift / 2).cast("string"))
-    terms = F.concat(
-        F.transform("item", lambda w: F.concat(F.lit("n:"), w)),
-        F.array_compact(F.array(F.concat(F.lit("m:"), "maker"), F.when(F.col("type_id") > 0, F.concat(F.lit("t:"), F.col("type_id").cast("string"))))),
-        F.array(F.concat(F.lit("y:"), F.coalesce(F.col("year").cast("string"), F.lit("-"))), F.concat(F.lit("f:"), F.coalesce("form", F.lit("-")))),
-        F.transform("contents", lambda c: place(c, 0)),
-        F.transform("contents", lambda c: place(c, 1)),
-    )
-    return classes.select("class", F.explode(F.array_distinct(terms)).alias("term"))
+#: Sharing pairs that every term is credited with, so that few pairs say little against it.
+PRIOR = 2.0
+#: A word is of a listing's core if at least this share of the listings alike has it, too.
+CORE = 0.3
 
 
-def candidate_pairs(classes: DataFrame) -> DataFrame:
-    """(a, b), a < b: classes that share two item words (or their only one), year and form. Exact
-    copies are one class already, so a block holds readings that differ."""
-    n = F.size("item")
-    combos = F.flatten(F.transform("item", lambda x, i: F.transform(F.slice("item", i + 2, n), lambda y: F.concat_ws(" ", x, y))))
-    key = F.explode(F.when(n == 1, F.col("item")).otherwise(combos))
-    keyed = classes.select("class", key.alias("k"), F.coalesce("year", F.lit(0)).alias("y"), F.coalesce("form", F.lit("")).alias("f"))
-    other = keyed.select(F.col("class").alias("b"), "k", "y", "f")
-    return keyed.withColumnRenamed("class", "a").join(other, ["k", "y", "f"]).filter("a < b").select("a", "b").distinct()
-
-
-def reinforce(pairs: DataFrame, terms: DataFrame, tolerance: float = 0.02, rounds: int = 12) -> DataFrame:
-    """(a, b, score): scores of pairs after term weights and pair scores have reinforced each other.
-
-    Stops when no weight moves by more than ``tolerance``, or after ``rounds``. A term that no pair
-    shares keeps weight 1: it speaks against its pairs in full.
-    """
-    sides = pairs.join(terms.withColumnRenamed("class", "a"), "a").select("a", "b", "term", F.lit(1).alias("side"))
-    sides = sides.unionByName(pairs.join(terms.withColumnRenamed("class", "b"), "b").select("a", "b", "term", F.lit(2).alias("side")))
-    edges = checkpointed(sides.groupBy("a", "b", "term").agg(F.sum("side").alias("side")))
-    weights = checkpointed(edges.filter("side = 3").select("term").distinct().withColumn("w", F.lit(1.0)))
-
-    def scored(weights: DataFrame) -> DataFrame:
-        e = edges.join(weights, "term", "left").withColumn("w", F.coalesce("w", F.lit(1.0)))
-        both, left, right = (F.sum(F.when(F.col("side") == s, F.col("w")).otherwise(0.0)) for s in (3, 1, 2))
-        return e.groupBy("a", "b").agg((both / (both + F.greatest(left, right))).alias("score"))
+def kept_words(listings: DataFrame) -> DataFrame:
+    """(word, kept): how likely a listing that shares one word with another, and is alike in all but its
+    words (maker, type, year, form, contents), has a further word of it, too, over all pairs of such
+    listings; counted, no pair is made. Words of an item are kept, those of advertising come and go. A
+    word never seen in such listings is kept."""
+    alike = ["maker", "type_id", "year", "form", "contents"]
+    known = listings.filter("maker is not null").select(F.xxhash64(F.to_json(F.struct(*alike), {"ignoreNullFields": "false"})).alias("g"), "item")
+    by = known.select("g", "item", F.explode("item").alias("by"))
+    sizes = by.groupBy("g", "by").agg(F.count(F.lit(1)).cast("double").alias("all")).filter("all > 1")
+    words = by.select("g", "by", F.explode("item").alias("word")).filter("word <> by").groupBy("g", "by", "word").agg(F.count(F.lit(1)).cast("double").alias("n"))
+    pairs = words.join(sizes, ["g", "by"]).groupBy("word").agg(F.sum(F.col("n") * (F.col("n") - 1)).alias("both"), F.sum(F.col("n") * (F.col("all") - 1)).alias("any"))
+    return pairs.select("word", ((F.col("both") + PRIOR) / (F.col("any") + PRIOR)).alias("kept"))
+
+
+WHAT = ["maker", "item", "core", "type_id", "year", "form", "contents"]
 
+
+def listing_classes(listings: DataFrame, kept: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(members, classes): members (payload_id, class) and classes (class long, what it is, leader).
+
+    Listings that read exactly alike, word by word, are one class. Classes that differ only in words
+    outside the core have one leader, the one with the fewest words."""
+    loose = kept.filter(F.col("kept") < CORE).select("word", F.lit(True).alias("loose"))
+    words = listings.select("payload_id", F.explode("item").alias("word")).join(loose, "word", "left").filter("loose is null")
+    core = words.groupBy("payload_id").agg(F.sort_array(F.collect_set("word")).alias("core"))
+    full = listings.join(core, "payload_id", "left").withColumn("core", F.coalesce("core", "item"))
+    # Null-safe: a class is named by what it is, printed with nulls.
+    named = lambda *fields: F.md5(F.to_json(F.struct(*fields), {"ignoreNullFields": "false"}))
+    full = checkpointed(full.withColumn("name", named(*WHAT)))
+    classes = full.groupBy("name").agg(*[F.first(w).alias(w) for w in WHAT])
+    # Numbers are short and, once written, fixed.
+    classes = checkpointed(classes.withColumn("class", F.monotonically_increasing_id()).withColumn("kin", named(*[w for w in WHAT if w != "item"])))
+    leaders = classes.groupBy("kin").agg(F.min(F.struct(F.size("item").alias("n"), "item", "class")).alias("m")).select("kin", F.col("m.class").alias("leader"))
+    classes = checkpointed(classes.join(leaders, "kin").drop("kin"))
+    return full.select("payload_id", "name").join(classes.select("name", "class"), "name").select("payload_id", "class"), classes.drop("name")
+
+
+def candidate_pairs(classes: DataFrame) -> DataFrame:
+    """(a, b): every class with its leader, and leaders that share two core words (or their only one),
+    year, form and, where both are known, the maker. Exact copies are one class already, and what
+    differs in loose words meets its leader only, so a block holds one row per core."""
+    led = classes.filter("class <> leader").select(F.least("class", "leader").alias("a"), F.greatest("class", "leader").alias("b"))
+    n = F.size("core")
+    combos = F.flatten(F.transform("core", lambda x, i: F.transform(F.slice("core", i + 2, n), lambda y: F.concat_ws(" ", x, y))))
+    key = F.explode(F.when(n == 1, F.col("core")).otherwise(combos))
+    keyed = classes.filter("class = leader").select("class", "maker", key.alias("k"), F.coalesce("year", F.lit(0)).alias("y"), F.coalesce("form", F.lit("")).alias("f"))
+    other = keyed.select(F.col("class").alias("b"), F.col("maker").alias("other"), "k", "y", "f")
+    mine = keyed.withColumnRenamed("class", "a")
+    known = mine.filter("maker is not null").join(other.filter("other is not null").withColumnRenamed("other", "maker"), ["maker", "k", "y", "f"]).filter("a < b").select("a", "b")
+    unknown = mine.filter("maker is null").join(other, ["k", "y", "f"]).filter("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    return led.unionByName(known).unionByName(unknown).distinct()
+
+
+def same_contents_columns(p: Column, q: Column) -> Column:
+    """The exact check of a match: the same set of stated contents, within 3 percent."""
+    near = F.forall(F.arrays_zip(p.alias("p"), q.alias("q")), lambda z: (_unit(z["p"]) == _unit(z["q"])) & (F.abs(_amount(z["p"]) - _amount(z["q"])) <= 0.03 * F.greatest(_amount(z["p"]), _amount(z["q"]))))
+    return (F.size(p) == F.size(q)) & F.coalesce(near, F.lit(True))
+
+
+def word_term(word: Column) -> Column:
+    return F.xxhash64(F.lit("word"), word)
+
+
+def pair_terms(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """(pair, term, name, side) of the bipartite graph: words (name true) and, as terms of what a listing
+    is, maker, type and set of contents; side 3 for terms of both classes, 1 and 2 for those of one.
+    What one of them does not state gives no term, and says nothing against the other class's."""
+    stated = F.when(F.size("contents") > 0, F.col("contents"))
+    own = classes.select("class", "item", F.struct("maker", F.when(F.col("type_id") > 0, F.col("type_id")).alias("type"), stated.alias("contents")).alias("kind"))
+    both = pairs.join(own.select(F.col("class").alias("a"), F.col("item").alias("ia"), F.col("kind").alias("ka")), "a").join(own.select(F.col("class").alias("b"), F.col("item").alias("ib"), F.col("kind").alias("kb")), "b")
+    sided = lambda words, side: F.transform(words, lambda w: F.struct(word_term(w).alias("term"), F.lit(True).alias("name"), F.lit(side).alias("side")))
+    words = F.concat(sided(F.array_intersect("ia", "ib"), 3), sided(F.array_except("ia", "ib"), 1), sided(F.array_except("ib", "ia"), 2))
+
+    def kind(field: str, same=lambda x, y: x == y) -> Column:
+        x, y = F.col(f"ka.{field}"), F.col(f"kb.{field}")
+        one = lambda v, side: F.struct(F.xxhash64(F.lit(field), v).alias("term"), F.lit(False).alias("name"), F.lit(side).alias("side"))
+        none = F.array().cast("array<struct<term:long,name:boolean,side:int>>")
+        return F.when(x.isNull() | y.isNull(), none).when(same(x, y), F.array(one(x, 3))).otherwise(F.array(one(x, 1), one(y, 2)))
+
+    terms = both.select("pair", F.explode(F.concat(words, kind("maker"), kind("type"), kind("contents", same_contents_columns))).alias("t"))
+    return terms.select("pair", "t.*")
+
+
+def reinforce(terms: DataFrame, start: DataFrame | None = None, tolerance: float = 0.01, rounds: int = 60) -> DataFrame:
+    """(pair, score) after term weights and pair scores have reinforced each other.
+
+    A pair scores by the share of shared weight in that of its words, times the same share of what its
+    classes are. A term weighs as much as it is shared in the pairs that have it, pairs counting by the
+    fourth power of their scores, so that likely matches tell; what ``start`` (term, w) says of it,
+    1 for others, counts as much as ``PRIOR`` matches. The first scores are by these weights.
+    Ends when no weight moves by more than ``tolerance``. Weights that still move after ``rounds`` are
+    reported by a warning; with 0 rounds all weights stay equal."""
+
+    def scored(weights: DataFrame | None) -> DataFrame:
+        e = terms.withColumn("w", F.lit(1.0)) if weights is None else terms.join(weights, "term", "left").withColumn("w", F.coalesce("w", F.lit(1.0)))
+
+        def part(name: bool) -> Column:
+            both, left, right = (F.sum(F.when((F.col("side") == s) & (F.col("name") == name), F.col("w")).otherwise(0.0)) for s in (3, 1, 2))
+            whole = both + F.greatest(left, right)
+            return F.when(whole > 0, both / whole).otherwise(1.0)
+
+        own = F.collect_list(F.struct("term", "side"))
+        return e.groupBy("pair").agg((part(True) * part(False)).alias("score"), own.alias("terms"))
+
+    weights, moved = start if rounds else None, None
+    known = None if start is None else start.select("term", F.col("w").alias("first"))
     for _ in range(rounds):
-        heard = checkpointed(edges.filter("side = 3").join(scored(weights), ["a", "b"]).groupBy("term").agg(F.avg("score").alias("w")))
-        # The largest weight, one number, scales all.
-        top = heard.agg(F.max("w").alias("top")).first()["top"]
-        new = heard.select("term", (F.col("w") / F.lit(top or 1.0)).alias("w"))
-        moved = new.join(weights.withColumnRenamed("w", "old"), "term").agg(F.max(F.abs(F.col("w") - F.col("old"))).alias("m")).first()["m"]
-        weights = new
+        told = scored(weights).select(F.pow("score", F.lit(4)).alias("e"), F.inline("terms"))
+        heard = told.groupBy("term").agg(F.sum(F.when(F.col("side") == 3, F.col("e")).otherwise(0.0)).alias("shared"), F.sum("e").alias("any"))
+        heard = heard.withColumn("first", F.lit(1.0)) if known is None else heard.join(known, "term", "left").withColumn("first", F.coalesce("first", F.lit(1.0)))
+        new = heard.select("term", ((F.col("shared") + PRIOR * F.col("first")) / (F.col("any") + PRIOR)).alias("w"))
+        new = new.withColumn("old", F.lit(1.0)) if weights is None else new.join(weights.select("term", F.col("w").alias("old")), "term", "left")
+        weights = checkpointed(new)
+        moved = weights.agg(F.max(F.abs(F.col("w") - F.coalesce("old", F.lit(1.0)))).alias("m")).first()["m"]
+        weights = weights.select("term", "w")
         if moved is None or moved <= tolerance:
             break
-    return scored(weights)
+    else:
+        if rounds:
+            warnings.warn(f"term weights still move by {moved:.3f} after {rounds} rounds", stacklevel=2)
+    return scored(weights).select("pair", "score")
 
 
-#: Score above which a pair is a match, before the exact check.
-MATCH = 0.5
+#: Score above which a pair is a match.
+MATCH = 0.75
 
 
-def _same_product(a: str, b: str):
-    """The exact check of two classes: everything known of both is equal, contents within 3 percent."""
-    x, y = (lambda f: F.col(f"{a}.{f}")), (lambda f: F.col(f"{b}.{f}"))
-    near = F.forall(F.arrays_zip(x("contents").alias("p"), y("contents").alias("q")), lambda z: (_unit(z["p"]) == _unit(z["q"])) & (F.abs(_amount(z["p"]) - _amount(z["q"])) <= 0.03 * F.greatest(_amount(z["p"]), _amount(z["q"]))))
-    known = lambda f, none: (x(f) == y(f)) | x(f).eqNullSafe(none) | y(f).eqNullSafe(none)
-    return known("maker", F.lit(None)) & known("type_id", F.lit(0)) & (x("item") == y("item")) & x("year").eqNullSafe(y("year")) & x("form").eqNullSafe(y("form")) & (F.size(x("contents")) == F.size(y("contents"))) & F.coalesce(near, F.lit(True))
+def matched_classes(classes: DataFrame, kept: DataFrame, match: float = MATCH, rounds: int = 60) -> DataFrame:
+    """(a, b) of classes of one product: pairs whose converged score reaches ``match``, less those whose
+    contents differ. ``kept`` (word, kept) are the weights to start from."""
+    pairs = checkpointed(candidate_pairs(classes).withColumn("pair", F.monotonically_increasing_id()))
+    start = kept.select(word_term(F.col("word")).alias("term"), F.col("kept").alias("w"))
+    scored = reinforce(checkpointed(pair_terms(pairs, classes)), start, rounds=rounds).filter(F.col("score") >= match)
+    held = classes.select("class", "contents")
+    checked = pairs.join(scored, "pair").join(held.select(F.col("class").alias("a"), F.col("contents").alias("ca")), "a").join(held.select(F.col("class").alias("b"), F.col("contents").alias("cb")), "b")
+    return checked.filter(same_contents_columns(F.col("ca"), F.col("cb"))).select("a", "b")
 
 
 def product_groups(records: DataFrame, producer: DataFrame, vendor: DataFrame, reference: DataFrame, match: float = MATCH) -> DataFrame:
     """(payload_id, product): listings of one product have one product id. Listings whose title names
     no item (and null titles) are left out; a product listed once is a group of one. An empty input
     gives none."""
-    members, classes = listing_classes(records, producer, vendor, reference)
-    classes = checkpointed(classes)
-    scored = reinforce(checkpointed(candidate_pairs(classes)), class_terms(classes)).filter(F.col("score") >= match)
-    known = classes.select("class", F.struct("maker", "item", "type_id", "year", "form", "contents").alias("k"))
-    checked = scored.join(known.select(F.col("class").alias("a"), F.col("k").alias("ka")), "a").join(known.select(F.col("class").alias("b"), F.col("k").alias("kb")), "b").filter(_same_product("ka", "kb"))
-    grouped = components(checked.select("a", "b"))
+    settled = settled_listings(records, producer, vendor, reference)
+    kept = checkpointed(kept_words(settled))
+    members, classes = listing_classes(settled, kept)
+    grouped = components(matched_classes(classes, kept, match))
     return members.join(grouped.withColumnRenamed("node", "class"), "class", "left").select("payload_id", F.coalesce("component", "class").alias("product"))
 
 
