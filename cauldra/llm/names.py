@@ -1,9 +1,9 @@
 """Variant spellings of names: one entity per group of spellings.
 
 A name is read into a form: given name (nicknames resolved), further name tokens (sorted), and the
-kind of business. Forms meet in blocks named by phonetic codes of their sorted tokens, with one letter
-left out so that a typing error in either token still meets; pairs are compared token by token with
-Jaro-Winkler similarity and edit distance, accepted pairs are clustered by connected components.
+kind of business. Forms meet in blocks named by phonetic codes of their sorted tokens, with up to two
+symbols left out so that typing errors still meet; pairs are compared token by token with Jaro-Winkler
+similarity and edit distance, accepted pairs are clustered by connected components.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
-from itertools import permutations
+from itertools import combinations, permutations
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -89,6 +89,8 @@ _JOINED = {"teahouse": ("tea", "house"), "teaworks": ("tea", "works"), "co-op":
 SHORT = 5
 #: Longer tokens are no words a typing error is looked for in: they must be equal.
 LONG = 64
+#: Names of fewer letters say too little when run together.
+JOINED = 8
 #: Jaro-Winkler similarity that two tokens need.
 TOKEN_SIMILARITY = 0.80
 
@@ -129,33 +131,71 @@ def read_name(text: str) -> tuple[str, list[tuple[str, bool]], list[str]]:
 
 
 _ALIKE = str.maketrans("cqzwyeu", "kksviio")
+_SOUNDS = str.maketrans("cqzw", "kksv")
+_VOWELS = frozenset("aeiouy")
 
 
-def phonetic(token: str) -> str:
+def alike(token: str) -> str:
     """Letters that sound alike are one. Doubled letters stay: leaving one out is one of the cuts."""
     return token.replace("ph", "f").replace("ck", "k").translate(_ALIKE)
 
 
-def block_keys(given: str, tokens: list[tuple[str, bool]]) -> list[tuple[str, str]]:
-    """(block, rest) of a form. Per ordered pair of tokens a block is the code of the one, whole and
-    with each letter left out, with the initial of the other, whose code is the rest; and the codes of
-    all tokens in a row, in any order, are blocks without rest. Abbreviations leave no rest."""
-    full = [w for w, short in tokens if not short]
-    keys: set[tuple[str, str]] = set()
-    for a in full:
-        code = phonetic(a)
-        cuts = {code} | ({code[:i] + code[i + 1 :] for i in range(len(code))} if 4 <= len(code) <= LONG else set())
-        others = [(w, short) for w, short in tokens if w is not a] or ([(given, False)] if given else [])
-        for o, short in others or [("", False)]:
-            # Letter by letter, so that an edit of the name is at most one of the rest.
-            rest = "" if short else o.translate(_ALIKE)
-            keys.update((f"{c}|{phonetic(o)[:1]}", rest) for c in cuts)
-    # Names run together meet those written apart, in whatever order.
-    for order in permutations([w for w, _ in tokens]) if len(tokens) <= 3 else [[w for w, _ in tokens]]:
-        row = phonetic("".join(order))
-        keys.add((f"={row}", ""))
-        if len(full) == len(tokens) and 9 <= len(row) <= 30:
-            keys.update((f"={row[:i]}{row[i + 1:]}", "") for i in range(len(row)))
+def phonetic(token: str) -> str:
+    """The phonetic code: consonants that sound alike are one, doubled letters single, vowels left out
+    but for a mark of one that begins the token. Letters of other scripts are their own code."""
+    t = token.replace("ph", "f").replace("ck", "k").translate(_SOUNDS)
+    single = (c for i, c in enumerate(t) if not i or t[i - 1] != c)
+    return "".join(c if c not in _VOWELS else "" if i else "a" for i, c in enumerate(single))
+
+
+def cuts(code: str, n: int) -> list[set[str]]:
+    """The codes that leaving out 0, 1 ... n symbols gives."""
+    out = [{code}]
+    for _ in range(n):
+        out.append({c[:i] + c[i + 1 :] for c in out[-1] for i in range(len(c))} - out[-1])
+    return out
+
+
+def block_keys(given: str, tokens: list[tuple[str, bool]]) -> list[tuple[str, int, str]]:
+    """(block, role, rest) of a form. Blocks are named by phonetic codes of sorted tokens, with symbols
+    left out for typing errors:
+
+    role 0: of every two tokens written in full the codes, up to two symbols left out of both; a name of
+    one token is its letters that way. Two forms of role 0 meet.
+    role 1, 2: of a token in full the code, up to one symbol left out, and the first letter of another
+    one, which is the rest. Role 1 is a form whose only token in full stands beside an abbreviation;
+    it meets forms of role 2, which are all.
+    role 3, 4: all letters sorted, up to one left out, and a number of tokens. A form of role 3 has one
+    token less than one of role 4, so names run together meet those written apart, in whatever order.
+    role 5, 6: of every two tokens the first two letters. Role 5 is a form with an abbreviation, which
+    meets those of role 6, all forms, so that different tokens of the two may be abbreviated."""
+    named = [given] if given and len(tokens) < 2 else []
+    full = [w for w, short in tokens if not short] + named
+    keys: set[tuple[str, int, str]] = set()
+    codes = {w: cuts(phonetic(w), 2 if len(w) <= LONG else 0) for w in full}
+    for x, y in combinations(full, 2):
+        for i, left in enumerate(codes[x]):
+            for right in codes[y][: 3 - i]:
+                keys.update((f"={min(c, d)} {max(c, d)}", 0, "") for c in left for d in right)
+    if len(full) == 1 and len(tokens) == 1:
+        w = alike(full[0])
+        keys.update((f"={c}", 0, "") for some in cuts(w, (2 if len(w) >= 5 else 1) if len(w) <= LONG else 0) for c in some)
+    for i, a in enumerate(full):
+        for o, short in [*((w, s) for w, s in tokens if w is not a), *((g, False) for g in named if g is not a)]:
+            own = [f"-{c}|{o[:1]}" for some in codes[a][:2] for c in some]
+            keys.update((c, 2, o) for c in own)
+            if short and len(full) == 1:
+                keys.update((c, 1, o) for c in own)
+    for (x, a), (y, b) in combinations([*tokens, *((g, False) for g in named)], 2):
+        if min(len(x), len(y)) >= 2:
+            key = f"~{min(x[:2], y[:2])} {max(x[:2], y[:2])}"
+            keys.update((key, role, "") for role in ((5, 6) if a or b else (6,)))
+    letters = "".join(sorted(alike("".join(w for w, _ in tokens))))
+    if len(letters) >= JOINED and len(full) - len(named) == len(tokens):
+        # Leaving out either of two equal letters is the same.
+        once = {letters} | {letters[:i] + letters[i + 1 :] for i in range(len(letters)) if not i or letters[i] != letters[i - 1]}
+        for role, n in ((3, len(tokens)), (4, len(tokens) - 1)):
+            keys.update((f"+{n} {c}", role, "") for c in once)
     return sorted(keys)
 
 
@@ -226,6 +266,19 @@ def _assigned(left: list[tuple[str, bool]], right: list[tuple[str, bool]]) -> li
     return [w for by_edits in states.values() for w in by_edits.items()]
 
 
+def _laid_out(text: str, parts: list[str], errors: int) -> bool:
+    """Whether some order of all parts gives the text, with at most so many edits."""
+    if not parts:
+        return len(text) <= errors
+    for i, p in enumerate(parts):
+        rest = parts[:i] + parts[i + 1 :]
+        if text.startswith(p) and _laid_out(text[len(p) :], rest, errors):
+            return True
+        if errors and len(p) <= LONG and any(edits(p, text[:n]) == 1 and _laid_out(text[n:], rest, 0) for n in range(max(0, len(p) - 1), len(p) + 2)):
+            return True
+    return False
+
+
 def compare(a: tuple, b: tuple) -> float:
     """Similarity of two forms (given, tokens, business), 0 if they are not the same name."""
     (ga, ta, ba), (gb, tb, bb) = a, b
@@ -249,13 +302,15 @@ def compare(a: tuple, b: tuple) -> float:
     elif len(left) == len(right):
         best = max((s - 0.01 * off for off, s in _assigned(left, right)), default=0.0)
     elif abs(len(left) - len(right)) == 1 and not any(s for _, s in (*left, *right)):
-        fewer, more = sorted((left, right), key=len)
-        one = "".join(w for w, _ in fewer)
-        if 8 <= len(one) <= 4 * LONG:
-            for order in permutations(more):
-                other = "".join(w for w, _ in order)
-                if abs(len(other) - len(one)) <= 1 and edits(one, other) <= 1:
-                    best = max(best, 0.93)
+        fewer, more = ([w for w, _ in side] for side in sorted((left, right), key=len))
+        if sum(map(len, fewer)) >= JOINED:
+            # With one edit at most, equal tokens pair off but for the joined one and a misspelt one.
+            for w in list(fewer):
+                if w in more:
+                    fewer.remove(w)
+                    more.remove(w)
+            if len(fewer) <= 2 and any(_laid_out("".join(order), more, 1) for order in permutations(fewer)):
+                best = 0.93
     if best and ba and bb and ba != bb:
         # The kind of business may be cut short, but not be another one.
         if not (set(ba) <= set(bb) or set(bb) <= set(ba)):
@@ -289,39 +344,64 @@ def forms(names: DataFrame) -> DataFrame:
 
 
 def near_rests(a: str, b: str) -> Column:
-    """Whether two rests may be of one name; it passes all that compare() accepts. No token of one name
-    may be more than two edits off, so the rest tells most strangers apart. A swap is one edit, but two
-    of Levenshtein's: two edits with a swap are at most four, and leave all letters but one as they are.
-    """
-    x, y = F.col(a), F.col(b)
-    letters = lambda c: F.array_join(F.array_sort(F.split(c, "")), "")
-    swapped = (F.levenshtein(x, y, 4) >= 0) & (F.levenshtein(letters(x), letters(y), 2) >= 0)
-    return (x == "") | (y == "") | (F.levenshtein(x, y, 2) >= 0) | x.startswith(y) | y.startswith(x) | swapped
+    """Whether two tokens, one of them an abbreviation, may be one: where the shorter ends, they differ by
+    one edit at most, which is two of Levenshtein's if it is a swap. It passes all that compare() does."""
+    n = F.least(F.length(a), F.length(b))
+    return F.levenshtein(F.left(F.col(a), n), F.left(F.col(b), n), 2) >= 0
+
+
+def near_letters(a: str, b: str) -> Column:
+    """Whether two forms in full may be of one name by the letters they have: an edit takes away one kind
+    of letter and adds another at most, and compare() accepts three. Abbreviations tell nothing (-1)."""
+    return (F.col(a) < 0) | (F.col(b) < 0) | (F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= 6)
+
+
+def _kinds(given: str, tokens: list[tuple[str, bool]]) -> int:
+    """One bit for each kind of letter, -1 for a form with an abbreviation."""
+    if any(short for _, short in tokens):
+        return -1
+    bits = 0
+    for c in given + "".join(w for w, _ in tokens):
+        bits |= 1 << ord(c) % 61
+    return bits
 
 
 def accepted_pairs(known: DataFrame) -> DataFrame:
     """(a, b, score, a_short, b_short): pairs of forms that name one entity, a < b.
 
-    ``known``: distinct (form, short). Blocks meet in an equi join; a block is one key of a token with
-    a letter left out and another token's initial, so common given names and business words make no
-    block. Pairs found in several blocks are compared once.
+    ``known``: distinct (form, short). Forms get numbers, and only numbers, keys' hashes and rests are
+    shuffled; blocks meet in an equi join, so a block that many forms share is split by the adaptive
+    skew join, and pairs whose letters rule them out end there. Common given names and business words
+    make no block. Pairs found in several blocks are compared once.
     """
+    from ..session import checkpointed, parallelism
+
+    tasks = parallelism(known.sparkSession)
+    numbered = checkpointed(known.repartition(tasks).withColumn("id", F.monotonically_increasing_id()))
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(f, s, k, rest) for f, s in zip(b["form"], b["short"]) for k, rest in block_keys(*_parse(f)[:2])]
-            yield pd.DataFrame(rows, columns=["form", "short", "key", "rest"])
+            rows = [(i, _kinds(*read[:2]), *k) for i, f in zip(b["id"], b["form"]) for read in (_parse(f),) for k in block_keys(*read[:2])]
+            yield pd.DataFrame(rows, columns=["id", "kinds", "key", "role", "rest"])
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             score = [compare(_parse(x), _parse(y)) for x, y in zip(b["a"], b["b"])]
             yield b.assign(score=score)[["a", "b", "score", "a_short", "b_short"]].query("score > 0")
 
-    blocks = known.mapInPandas(keys, "form string, short boolean, key string, rest string")
-    left = blocks.select("key", F.col("form").alias("a"), F.col("short").alias("a_short"), F.col("rest").alias("a_rest"))
-    right = blocks.select("key", F.col("form").alias("b"), F.col("short").alias("b_short"), F.col("rest").alias("b_rest"))
-    met = left.join(right, "key").filter("a < b").filter(near_rests("a_rest", "b_rest")).select("a", "b", "a_short", "b_short").distinct()
-    return met.mapInPandas(judge, "a string, b string, score double, a_short boolean, b_short boolean")
+    blocks = numbered.select("id", "form").mapInPandas(keys, "id long, kinds long, key string, role int, rest string").withColumn("key", F.xxhash64("key"))
+    side = lambda df, p: df.select("key", *[F.col(c).alias(f"{p}_{c}") for c in ("id", "kinds", "role", "rest")])
+    left, right = side(blocks.filter("role in (0, 1, 3, 5)"), "l"), side(blocks.filter("role in (0, 2, 4, 6)"), "r")
+    # Keys of different roles differ in their first letter, so that roles meet as they should.
+    same = (F.col("l_role") > 0) | (F.col("l_id") < F.col("r_id"))
+    met = left.join(right, "key").filter((F.col("l_id") != F.col("r_id")) & same & near_letters("l_kinds", "r_kinds") & near_rests("l_rest", "r_rest"))
+    met = met.select(F.least("l_id", "r_id").alias("i"), F.greatest("l_id", "r_id").alias("j")).distinct()
+    named = lambda i, x: numbered.select(F.col("id").alias(i), F.col("form").alias(f"{x}"), F.col("short").alias(f"{x}_short"))
+    pairs = met.join(named("i", "x"), "i").join(named("j", "y"), "j")
+    swapped = F.col("x") > F.col("y")
+    pick = lambda a, b: F.when(swapped, F.col(b)).otherwise(F.col(a))
+    ordered = pairs.select(pick("x", "y").alias("a"), pick("y", "x").alias("b"), pick("x_short", "y_short").alias("a_short"), pick("y_short", "x_short").alias("b_short"))
+    return ordered.repartition(tasks).mapInPandas(judge, "a string, b string, score double, a_short boolean, b_short boolean")
 
 
 def entity_links(pairs: DataFrame) -> DataFrame:

@@ -19,11 +19,17 @@ SAME = [
 OTHER = [("Dezeto Wejini Tea Factory", "Dezamo Hajenis Tea Factory"), ("Dezeto Wejini Tea Factory", "Dezeto Wejini Trading Company"), ("Elizabeth Gefiker Sawetil Teas", "Margaret Gefiker Sawetil Teas")]
 
 
+def meet(x, y):
+    """Whether two forms share a block, in roles that meet."""
+    mine, other = n.block_keys(*x[:2]), n.block_keys(*y[:2])
+    return any(k == l and {r, q} in ({0}, {1, 2}, {3, 4}, {5, 6}) for k, r, _ in mine for l, q, _ in other)
+
+
 @pytest.mark.parametrize("a, b", SAME)
 def test_same(a, b):
     x, y = n.read_name(a), n.read_name(b)
     assert n.compare(x, y) > 0 and n.compare(y, x) > 0
-    assert {k for k, _ in n.block_keys(*x[:2])} & {k for k, _ in n.block_keys(*y[:2])}
+    assert meet(x, y) and meet(y, x)
 
 
 @pytest.mark.parametrize("a, b", OTHER)
@@ -49,18 +55,45 @@ def test_link_names(spark):
     assert n.link_names(spark.createDataFrame([], "name string")).count() == 0
 
 
-def test_near_rests_pass_what_compare_accepts(spark):
-    r = random.Random(3)
+def edited(r, w):
+    i = r.randrange(len(w) - 1)
+    return r.choice((w[:i] + w[i + 1] + w[i] + w[i + 2 :], w[:i] + r.choice("aeioulmn") + w[i:], w[:i] + w[i + 1 :], w[:i] + r.choice("aeioulmn") + w[i + 1 :]))
+
 
-    def edited(w):
-        i = r.randrange(len(w) - 1)
-        return r.choice((w[:i] + w[i + 1] + w[i] + w[i + 2 :], w[:i] + r.choice("aeioulmn") + w[i:], w[:i] + w[i + 1 :], w[:i] + r.choice("aeioulmn") + w[i + 1 :]))
+def test_phonetic_codes():
+    assert n.phonetic("genovar") == n.phonetic("gennavor") == "gnvr" and n.phonetic("alika") == "alk" and n.phonetic("茶山") == "茶山" and n.phonetic("") == ""
+    assert n.cuts("abc", 2) == [{"abc"}, {"ab", "ac", "bc"}, {"a", "b", "c"}]
 
+
+def test_filters_pass_what_compare_accepts(spark):
+    r = random.Random(3)
     words = ["".join(r.choice("bdfglmnrst") + r.choice("aeiou") for _ in range(r.randrange(3, 6))) for _ in range(1500)]
-    pairs = [(w, edited(edited(w))) for w in words] + [("genovar", "gneovvar"), ("gaposan", "glpoasn"), ("abcdef", "badcef")]
-    far = spark.createDataFrame(pairs, "a string, b string").filter(~n.near_rests("a", "b")).collect()
-    assert not [x for x in far if n._token_score((x["a"], False), (x["b"], False))]
-    assert spark.createDataFrame([("genovar", "gohoke"), ("melani", "mirabo")], "a string, b string").filter(n.near_rests("a", "b")).count() == 0
+    short = [(w, w[: r.randrange(1, 5)]) for w in words] + [(w, edited(r, w[:5])) for w in words]
+    far = spark.createDataFrame(short, "a string, b string").filter(~n.near_rests("a", "b")).collect()
+    assert not [x for x in far if n._token_score((x["a"], False), (x["b"], True))]
+    full = [(w, v, n._kinds("", [(w, False)]), n._kinds("", [(v, False)])) for w in words for v in [edited(r, edited(r, edited(r, w)))]]
+    far = spark.createDataFrame(full, "w string, v string, a long, b long").filter(~n.near_letters("a", "b")).collect()
+    assert not [x for x in far if n.edits(x["w"], x["v"]) <= 3]
+
+
+def test_pairs_equal_brute_force(spark):
+    """Recall of the blocks: of all pairs that compare() accepts, at least 0.98 meet, and no other."""
+    r = random.Random(11)
+    part = lambda: "".join(r.choice("bdfghjklmnprstvz") + r.choice("aeiou") for _ in range(r.randrange(2, 4))) + r.choice(["", "n", "r", "s"])
+    known = set()
+    for _ in range(60):
+        tokens = [part() for _ in range(r.choice([1, 2, 2, 2, 3]))]
+        given = r.choice(["", "", "Margaret "])
+        for _ in range(6):
+            mine = [edited(r, t) if r.random() < 0.3 else t[:3] + "." if r.random() < 0.12 else t for t in tokens]
+            r.shuffle(mine)
+            known.add(given + (" " if r.random() < 0.9 else "").join(mine) + r.choice([" Tea House", " Tea Hse", ""]))
+    forms = sorted({(f, not b or any(s for _, s in t)) for x in known for g, t, b in (n.read_name(x),) for f in (n._form_text(g, t, b),)})
+    read = [n._parse(f) for f, _ in forms]
+    want = {(forms[i][0], forms[j][0]) for i in range(len(forms)) for j in range(i) if n.compare(read[i], read[j]) > 0}
+    want = {(min(p), max(p)) for p in want}
+    got = {(x["a"], x["b"]) for x in n.accepted_pairs(spark.createDataFrame(forms, "form string, short boolean")).collect()}
+    assert got <= want and len(want) > 300 and len(got) >= 0.98 * len(want), (len(got), len(want))
 
 
 def test_swap_and_another_edit_in_one_token(spark):
@@ -87,6 +120,13 @@ def test_names_of_many_tokens():
             assert bool(n._assigned(x, y)) == any(sum(d for _, d in t) <= 3 for t in every)
 
 
+def test_names_run_together():
+    one = n.read_name("Kotari Belumasivaneto Golipar Wemado")
+    assert n.compare(one, n.read_name("Wemado Sivaneto Beluma Golipar Kotari")) > 0 and n.compare(one, n.read_name("Wemado Sivanetto Beluma Golipar Kotari")) > 0
+    assert n.compare(one, n.read_name("Wemado Sivanetta Beluma Golipar Kotari")) == 0
+    assert meet(one, n.read_name("Wemado Sivanetto Beluma Golipar Kotari"))
+
+
 def test_sellers_are_no_makers(spark):
     producer = spark.createDataFrame([(1, "North Gate Tea House", ["north gate tea hse", None, " "]), (2, "Steep Street", None)], "producer_id long, canonical_name string, aliases array<string>")
     records = spark.createDataFrame([(("Steep Street",),), (("STEEP STREET",),), ((None,),), (("Northgate Tea House",),)], "payload struct<vendor:string>")
