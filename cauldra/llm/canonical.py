@@ -13,7 +13,6 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import combinations
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -74,9 +73,10 @@ def edits_allowed(key: str) -> int:
 
 def deletes(key: str, n: int) -> set[str]:
     """``key`` and all strings that deleting up to n of its characters gives."""
-    out = {key}
-    for k in range(1, min(n, len(key)) + 1):
-        out.update("".join(c for i, c in enumerate(key) if i not in gone) for gone in map(frozenset, combinations(range(len(key)), k)))
+    out = last = {key}
+    for _ in range(n):
+        last = {k[:i] + k[i + 1 :] for k in last for i in range(len(k))}
+        out = out | last
     return out
 
 
@@ -117,6 +117,12 @@ def weighted_distance(a: str, b: str) -> float:
 
 def edits(a: str, b: str) -> int:
     """Damerau-Levenshtein distance, all weights 1."""
+    start, end = 0, 0
+    while start < min(len(a), len(b)) and a[start] == b[start]:
+        start += 1
+    while end < min(len(a), len(b)) - start and a[-1 - end] == b[-1 - end]:
+        end += 1
+    a, b = a[start : len(a) - end], b[start : len(b) - end]
     two, one = [], list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
         now = [i]

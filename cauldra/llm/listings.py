@@ -75,7 +75,8 @@ class TypeWords:
         self.reference = canonical.Reference([(i, n) for i, n in names_of if n])
         self.tokens = canonical.Reference([(0, canonical.compact(canonical.spaced(w))) for _, n in names_of if n for w in n.split() if len(w) > 3])
         self._near = lru_cache(100_000)(self._near_window)
-        self._token = lru_cache(100_000)(lambda w: bool(self.tokens.by_delete.get(w)) or bool(self.tokens.candidates(w)))
+        # Whole names written as one word count as words, too.
+        self._token = lru_cache(100_000)(lambda w: bool(self.tokens.candidates(w)) or bool(self.reference.candidates(w)))
 
     def _near_window(self, key: str) -> tuple[int, int] | None:
         """(edits, entry) of the closest name to a window of words, None if it is none's."""
@@ -92,14 +93,16 @@ class TypeWords:
         words = [(m.start(), m.end(), canonical.compact(canonical.spaced(m[0]))) for m in _TITLE_WORD.finditer(text)]
         best = None
         for i in range(len(words)):
-            key, alike = "", False
+            key = ""
             for j in range(i, min(i + self.longest, len(words))):
                 if j > i and text[words[j - 1][1] : words[j][0]].strip(" -"):
                     break
+                # Every longer word of a name is one of the reference, or near one.
+                if len(words[j][2]) > 3 and not self._token(words[j][2]):
+                    break
                 key += words[j][2]
-                alike = alike or self._token(words[j][2])
                 entry, off = self.exact.get(key), 0
-                if entry is None and alike and len(key) >= 6 and (near := self._near(key)):
+                if entry is None and len(key) >= 6 and (near := self._near(key)):
                     off, entry = near
                 if entry is not None:
                     rank = (entry == own, len(key) - 2 * off, words[i][0])
@@ -354,8 +357,8 @@ def _settled(read: DataFrame, producer: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            item, maker, kind = [], [], []
-            stated = b["year"].notna() | b["form"].notna() | (b["contents"].str.len() > 0)
+            item, maker, kind, told_kind = [], [], [], []
+            stated = b["form"].notna() | (b["contents"].str.len() > 0)
             for vendor, seller, type_id, title_type, words, more in zip(b["vendor"], b["seller"], b["type_id"], b["title_type"], b["words"], stated):
                 told = [] if words is None else [(x["w"], None if x["meant"] is None else list(x["meant"]), x["role"]) for x in words]
                 known, named = item_and_maker(told, vendor is not None and not seller)
@@ -365,24 +368,31 @@ def _settled(read: DataFrame, producer: DataFrame) -> DataFrame:
                     typed = " ".join(named) if any(not is_business(w) and len(w.rstrip(".")) > 1 for w in named) else None
                 item.append(known)
                 maker.append(typed)
-                # A type's word alone in a title ("White Label Service") is no type.
-                kind.append(type_id or (title_type if typed is not None or more else 0))
-            yield pd.DataFrame({"payload_id": b["payload_id"], "item": item, "maker_name": maker, "type_id": kind, "year": b["year"].astype("Int32"), "form": b["form"], "contents": b["contents"]})
+                # A type's word alone in a title ("White Label Service") is no type, a form or contents are.
+                kind.append(type_id or (title_type if more else 0))
+                told_kind.append(title_type)
+            yield pd.DataFrame({"payload_id": b["payload_id"], "item": item, "maker_name": maker, "type_id": kind, "title_type": told_kind, "year": b["year"].astype("Int32"), "form": b["form"], "contents": b["contents"]})
 
     full = read.drop("item", "maker").join(placed, "payload_id", "left")
-    return full.mapInPandas(run, "payload_id long, item array<string>, maker_name string, type_id long, year int, form string, contents array<string>")
+    return full.mapInPandas(run, "payload_id long, item array<string>, maker_name string, type_id long, title_type long, year int, form string, contents array<string>")
 
 
 def settled_listings(records: DataFrame, producer: DataFrame, vendor: DataFrame, reference: DataFrame) -> DataFrame:
     """(payload_id, maker, item, type_id, year, form, contents): every listing whose title names an item,
-    and that names a maker or a type. ``item`` holds all words of the title that are not the maker's or
+    and that names a known maker or a type. ``item`` holds all words of the title that are not the maker's or
     the type's, those of advertising, too."""
     read = checkpointed(_read(_sources(records, vendor, reference), reference))
     settled = checkpointed(_settled(read, producer))
-    makers = names.maker_names(producer, records).unionByName(settled.select(F.col("maker_name").alias("name"))).filter("name is not null").distinct()
-    linked = names.link_names(makers).withColumnRenamed("name", "maker_name").withColumnRenamed("entity", "maker")
-    full = settled.join(linked, "maker_name", "left").filter((F.size("item") >= 1) & (F.col("maker").isNotNull() | (F.col("type_id") > 0)))
-    return checkpointed(full.drop("maker_name"))
+    # A maker read from a title is known if a producer's entry or a vendor field names it, too.
+    known = names.maker_names(producer, records).withColumn("known", F.lit(True))
+    makers = known.unionByName(settled.filter("maker_name is not null").select(F.col("maker_name").alias("name"), F.lit(False).alias("known")))
+    makers = checkpointed(makers.groupBy("name").agg(F.max("known").alias("known")))
+    linked = checkpointed(names.link_names(makers.select("name")).join(makers, "name"))
+    linked = linked.join(linked.groupBy("entity").agg(F.max("known").alias("known_maker")), "entity").select(F.col("name").alias("maker_name"), F.col("entity").alias("maker"), "known_maker")
+    full = settled.join(linked, "maker_name", "left")
+    kind = F.when((F.col("type_id") == 0) & F.col("known_maker"), F.col("title_type")).otherwise(F.col("type_id"))
+    full = full.withColumn("type_id", kind).filter((F.size("item") >= 1) & (F.coalesce("known_maker", F.lit(False)) | (F.col("type_id") > 0)))
+    return checkpointed(full.drop("maker_name", "title_type", "known_maker"))
 
 
 def _unit(content: Column) -> Column:

@@ -11,8 +11,10 @@ from __future__ import annotations
 import re
 import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import combinations, permutations
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -221,6 +223,23 @@ def jaro_winkler(a: str, b: str) -> float:
     return jaro + prefix * 0.1 * (1 - jaro)
 
 
+@lru_cache(maxsize=200_000)
+def _letters(token: str) -> int:
+    """One bit for each kind of letter."""
+    bits = 0
+    for c in token:
+        bits |= 1 << ord(c) % 61
+    return bits
+
+
+def edits_up_to(a: str, b: str, most: int) -> int:
+    """Edits of two tokens, or some number above ``most``. An edit takes away one kind of letter and adds
+    another at most."""
+    if abs(len(a) - len(b)) > most or (_letters(a) ^ _letters(b)).bit_count() > 2 * most:
+        return most + 1
+    return edits(a, b)
+
+
 def _token_score(a: tuple[str, bool], b: tuple[str, bool]) -> tuple[float, int] | None:
     """(similarity, edits) of two tokens that may be one, None if they may not."""
     (x, xs), (y, ys) = a, b
@@ -233,11 +252,11 @@ def _token_score(a: tuple[str, bool], b: tuple[str, bool]) -> tuple[float, int]
         if long.startswith(short):
             return 0.95, 0
         # An abbreviation may be misspelt, too.
-        if len(short) >= 3 and short[0] == long[0] and any(edits(short, long[:n]) <= 1 for n in range(len(short) - 1, len(short) + 2)):
+        if len(short) >= 3 and short[0] == long[0] and any(edits_up_to(short, long[:n], 1) <= 1 for n in range(len(short) - 1, len(short) + 2)):
             return 0.9, 1
         return None
-    d = edits(x, y)
-    if d > (2 if min(len(x), len(y)) >= 5 else 1):
+    most = 2 if min(len(x), len(y)) >= 5 else 1
+    if (d := edits_up_to(x, y, most)) > most:
         return None
     s = jaro_winkler(x, y)
     return (s, d) if s >= TOKEN_SIMILARITY or (d == 1 and len(x) >= 5) else None
@@ -274,7 +293,7 @@ def _laid_out(text: str, parts: list[str], errors: int) -> bool:
         rest = parts[:i] + parts[i + 1 :]
         if text.startswith(p) and _laid_out(text[len(p) :], rest, errors):
             return True
-        if errors and len(p) <= LONG and any(edits(p, text[:n]) == 1 and _laid_out(text[n:], rest, 0) for n in range(max(0, len(p) - 1), len(p) + 2)):
+        if errors and len(p) <= LONG and any(edits_up_to(p, text[:n], 1) == 1 and _laid_out(text[n:], rest, 0) for n in range(max(0, len(p) - 1), len(p) + 2)):
             return True
     return False
 
@@ -303,7 +322,7 @@ def compare(a: tuple, b: tuple) -> float:
         best = max((s - 0.01 * off for off, s in _assigned(left, right)), default=0.0)
     elif abs(len(left) - len(right)) == 1 and not any(s for _, s in (*left, *right)):
         fewer, more = ([w for w, _ in side] for side in sorted((left, right), key=len))
-        if sum(map(len, fewer)) >= JOINED:
+        if sum(map(len, fewer)) >= JOINED and abs(sum(map(len, fewer)) - sum(map(len, more))) <= 1:
             # With one edit at most, equal tokens pair off but for the joined one and a misspelt one.
             for w in list(fewer):
                 if w in more:
@@ -360,10 +379,7 @@ def _kinds(given: str, tokens: list[tuple[str, bool]]) -> int:
     """One bit for each kind of letter, -1 for a form with an abbreviation."""
     if any(short for _, short in tokens):
         return -1
-    bits = 0
-    for c in given + "".join(w for w, _ in tokens):
-        bits |= 1 << ord(c) % 61
-    return bits
+    return _letters(given + "".join(w for w, _ in tokens))
 
 
 def accepted_pairs(known: DataFrame) -> DataFrame:
@@ -381,15 +397,19 @@ def accepted_pairs(known: DataFrame) -> DataFrame:
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(i, _kinds(*read[:2]), *k) for i, f in zip(b["id"], b["form"]) for read in (_parse(f),) for k in block_keys(*read[:2])]
-            yield pd.DataFrame(rows, columns=["id", "kinds", "key", "role", "rest"])
+            read = [_parse(f)[:2] for f in b["form"]]
+            own = [block_keys(*r) for r in read]
+            flat = [k for ks in own for k in ks]
+            count = [len(ks) for ks in own]
+            yield pd.DataFrame({"id": np.repeat(b["id"].to_numpy(), count), "kinds": np.repeat(np.array([_kinds(*r) for r in read], dtype=np.int64), count), "key": [k[0] for k in flat], "role": np.array([k[1] for k in flat], dtype=np.int32), "rest": [k[2] for k in flat]})
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             score = [compare(_parse(x), _parse(y)) for x, y in zip(b["a"], b["b"])]
             yield b.assign(score=score)[["a", "b", "score", "a_short", "b_short"]].query("score > 0")
 
-    blocks = numbered.select("id", "form").mapInPandas(keys, "id long, kinds long, key string, role int, rest string").withColumn("key", F.xxhash64("key"))
+    # Written once, as both sides of the join read them.
+    blocks = checkpointed(numbered.select("id", "form").mapInPandas(keys, "id long, kinds long, key string, role int, rest string").withColumn("key", F.xxhash64("key")))
     side = lambda df, p: df.select("key", *[F.col(c).alias(f"{p}_{c}") for c in ("id", "kinds", "role", "rest")])
     left, right = side(blocks.filter("role in (0, 1, 3, 5)"), "l"), side(blocks.filter("role in (0, 2, 4, 6)"), "r")
     # Keys of different roles differ in their first letter, so that roles meet as they should.
