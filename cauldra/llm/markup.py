@@ -69,9 +69,11 @@ _KIND = {k: i for i, k in enumerate(KINDS)}
 _TAG = re.compile(r"<\s*([a-zA-Z][a-zA-Z0-9]*)")
 _VOID = frozenset("br img hr input meta link wbr area base col embed source track".split())
 _BLOCK = frozenset("p h1 h2 h3 h4 h5 h6 ul ol table pre div blockquote dl form section article header footer".split())
+_BOXES = _BLOCK | {"li", "tr", "br", "dt", "dd"}
 _INNER = {**{f"h{i}": 1 for i in range(1, 7)}, "li": 2, "ul": 2, "ol": 2, "dl": 2, "dt": 2, "dd": 2, "pre": 3, "code": 3, "samp": 3, "kbd": 3, "table": 4, "tr": 4, "td": 4, "th": 4}
 
 
+_ESCAPE = re.compile(r"\\[&%#_$]")
 #: The path element of lines between fences.
 FENCE = "```"
 
@@ -80,32 +82,74 @@ class Leaf(NamedTuple):
     kind: str
     start: int
     end: int
-    path: tuple[str, ...]
+    path: tuple[str, ...]  # the innermost elements around it, PATH at most
     breaks: int  # line breaks right before it, 2 for a blank line
     first: bool  # the first leaf of its line
+    inner: int  # what the innermost element that tells is, as _INNER has it, at any depth
+    heading: bool  # inside a heading, at any depth
+    item: bool  # inside a list item, at any depth
+    inside: bool  # inside any element, fences aside
+    box: int  # which boxes are around it, at any depth: equal rows of boxes have equal numbers
+
+
+#: Innermost elements that the labeller reads one by one; what lies further out it reads as ``inner``.
+PATH = 6
+
+
+class _Open(NamedTuple):
+    """An open element, with what holds for all that is inside it."""
+
+    name: str
+    inner: int
+    heading: bool
+    item: bool
+    inside: bool
+    box: int
+
+
+_OUTSIDE = _Open("", 0, False, False, False, 0)
 
 
 def leaves(text: str) -> list[Leaf]:
-    """The leaves of a document in order; together with white space and end tags they cover it."""
+    """The leaves of a document in order; together with white space and end tags they cover it. Depth
+    costs little: an element knows what its ancestors tell."""
     out: list[Leaf] = []
-    stack: list[str] = []
+    stack: list[_Open] = []
+    open_names: list[str] = []
+    boxes: dict[tuple[int, str], int] = {}
     breaks, first, at = 2, True, 0
 
+    def push(name: str) -> None:
+        up = stack[-1] if stack else _OUTSIDE
+        box = boxes.setdefault((up.box, name), len(boxes) + 1) if name in _BOXES else up.box
+        fence = name == FENCE
+        heading = name[0] == "h" and name[1:].isdigit()
+        stack.append(_Open(name, _INNER.get(name, up.inner), up.heading or heading, up.item or name == "li", up.inside or not fence, box))
+        open_names.append(name)
+
+    def cut(n: int) -> None:
+        del stack[n:], open_names[n:]
+
     def put(kind: str, i: int, j: int) -> None:
         nonlocal breaks, first
-        out.append(Leaf(kind, i, j, tuple(stack[-6:]), min(breaks, 2), first))
+        up = stack[-1] if stack else _OUTSIDE
+        out.append(Leaf(kind, i, j, tuple(open_names[-PATH:]), min(breaks, 2), first, up.inner, up.heading, up.item, up.inside, up.box))
         breaks, first = 0, False
 
     def words(i: int, j: int) -> None:
         if text[i:j].strip():
             fence = first and text[i:j].lstrip()[:3] in ("```", "~~~")
-            if fence and FENCE in stack:
-                stack.remove(FENCE)
+            if fence and FENCE in open_names:
+                k = open_names.index(FENCE)
+                del stack[k], open_names[k]
                 put("text", i, j)
             else:
                 put("text", i, j)
                 if fence:
-                    stack.append(FENCE)
+                    push(FENCE)
+
+    def last(name: str) -> int:
+        return len(open_names) - 1 - open_names[::-1].index(name)
 
     for m in _TOKEN.finditer(text):
         words(at, m.start())
@@ -115,24 +159,27 @@ def leaves(text: str) -> list[Leaf]:
             breaks, first = breaks + 1, True
         elif kind == "end":
             name = re.match(r"</\s*([a-zA-Z][a-zA-Z0-9]*)", m[0])[1].lower()
-            if name in stack:
-                while stack.pop() != name:
-                    pass
+            if name in open_names:
+                cut(last(name))
         elif kind == "tag":
             named = _TAG.match(m[0])
             name = named[1].lower() if named else "!"
-            if name in _BLOCK and "p" in stack and not (set(stack[stack.index("p") :]) & {"li", "td", "div"}):
-                del stack[stack.index("p") :]
-            if name in ("li", "td", "tr", "th", "dt", "dd") and name in stack:
-                top = len(stack) - 1 - stack[::-1].index(name)
-                if not set(stack[top:]) & {"ul", "ol", "table"}:
-                    del stack[top:]
-            stack.append(name)
+            if name in _BLOCK and "p" in open_names and not (set(open_names[open_names.index("p") :]) & {"li", "td", "div"}):
+                cut(open_names.index("p"))
+            if name in ("li", "td", "tr", "th", "dt", "dd") and name in open_names:
+                top = last(name)
+                if not set(open_names[top:]) & {"ul", "ol", "table"}:
+                    cut(top)
+            push(name)
             put("tag", m.start(), m.end())
             if name in _VOID or name == "!" or m[0].endswith("/>"):
-                stack.pop()
+                cut(len(stack) - 1)
         else:
             put(kind, m.start(), m.end())
+            if kind == "command":
+                # Escapes in a command's argument are leaves of their own, inside the command's.
+                for e in _ESCAPE.finditer(text, text.index("{", m.start()), m.end()):
+                    put("escape", e.start(), e.end())
     words(at, len(text))
     return out
 
@@ -151,14 +198,14 @@ def _hashed(word: str, dims: int) -> np.ndarray:
     return np.random.default_rng(zlib.crc32(word.encode("utf-8", "replace"))).standard_normal(dims).astype(np.float32)
 
 
-def _vector(kind: str, s: str, path: tuple[str, ...], breaks: int, first: bool) -> np.ndarray:
+def _vector(kind: str, s: str, path: tuple[str, ...], breaks: int, first: bool, inner: int) -> np.ndarray:
     row = np.zeros(DIMS, dtype=np.float32)
     row[_KIND[kind]] = 1
     at = len(KINDS)
     for i, t in enumerate(reversed(path)):
         row[at : at + PATH_DIMS] += _hashed(f"<{t}", PATH_DIMS) / (1 + i)
     at += PATH_DIMS
-    row[at + next((_INNER[t] for t in reversed(path) if t in _INNER), 0)] = 1
+    row[at + inner] = 1
     at += 5
     row[at + breaks] = 1
     row[at + 3] = first
@@ -188,7 +235,7 @@ _known_vector = lru_cache(maxsize=50_000)(_vector)
 
 def vectors(text: str, own: list[Leaf]) -> np.ndarray:
     """One row per leaf. Short leaves repeat and are remembered."""
-    return np.stack([(_known_vector if x.end - x.start <= 200 else _vector)(x.kind, text[x.start : x.end], x.path, x.breaks, x.first) for x in own])
+    return np.stack([(_known_vector if x.end - x.start <= 200 else _vector)(x.kind, text[x.start : x.end], x.path, x.breaks, x.first, x.inner) for x in own])
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -282,7 +329,7 @@ def checked(text: str, labelled: list[tuple[Leaf, int]]) -> list[tuple[Leaf, tup
         if label:
             notation, structure = label
             if notation == "html":
-                ok = x.kind in _HTML_KINDS or any(t != FENCE for t in x.path)
+                ok = x.kind in _HTML_KINDS or x.inside
             elif structure == "formula":
                 ok = x.kind in _FORMULA and not re.match(r"\$\d[^=\\^_]*\$$", s)
             elif notation == "latex":
@@ -309,9 +356,6 @@ def found(text: str, labelled: list[tuple[Leaf, int]]) -> list[tuple[str, str]]:
     for x, label in checked(text, labelled):
         if label and not (label[0] == "html" and x.kind == "text"):
             out.add(label)
-            # A command's argument may hold escapes of its own.
-            if label[0] == "latex" and x.kind == "command" and re.search(r"\\[&%#_$]", text[x.start : x.end]):
-                out.add(("latex", "other"))
     return sorted(out)
 
 
@@ -330,21 +374,20 @@ def _inline(kind: str, s: str) -> str:
     if kind in ("link", "image"):
         return re.match(r"!?\[([^\]]*)\]", s)[1]
     if kind == "command":
-        return s[s.index("{") + 1 : -1]
+        return _ESCAPE.sub(lambda e: e[0][1:], s[s.index("{") + 1 : -1])
     if kind == "escape":
         return s[1:]
     return ""
 
 
 _ASIDE = ("comment", "script")
-_BOXES = _BLOCK | {"li", "tr", "br", "dt", "dd"}
 
 
 def clean(text: str, labelled: list[tuple[Leaf, int]]) -> str:
     """Clean text: headings as ``# line``, list items as ``- line``, code between fences, formulas as
     they stand; all other markup is taken off. Text without markup keeps its words and line breaks."""
     lines: list[str] = []
-    line, code, style, boxes, held = "", False, None, (), ""
+    line, code, style, boxes, held = "", False, None, 0, ""
 
     def flush() -> None:
         nonlocal line, style
@@ -362,12 +405,14 @@ def clean(text: str, labelled: list[tuple[Leaf, int]]) -> str:
             lines.append("```")
             code, held = on, ""
 
+    covered = 0
     for x, label in checked(text, labelled):
         s = text[x.start : x.end]
         notation, structure = label or (None, None)
-        if x.kind in _ASIDE:
+        if x.kind in _ASIDE or x.end <= covered:
             continue
-        now = tuple(t for t in x.path if t in _BOXES)
+        covered = x.end
+        now = x.box
         if now != boxes or x.breaks == 2 or (x.breaks and not now):
             if not code:
                 flush()
@@ -389,9 +434,9 @@ def clean(text: str, labelled: list[tuple[Leaf, int]]) -> str:
             if name in _BOXES:
                 flush()
             continue
-        if any(t[0] == "h" and t[1:].isdigit() for t in x.path):
+        if x.heading:
             style = "heading"
-        elif "li" in x.path:
+        elif x.item:
             style = "list" if not lines or line or boxes else style
         if structure == "formula" or (label is None and x.kind not in ("text", "entity")):
             line += s
@@ -403,7 +448,7 @@ def clean(text: str, labelled: list[tuple[Leaf, int]]) -> str:
                     lines[-1] = "# " + lines[-1]
                 continue
             style = "heading"
-            line = (re.sub(r"^\s*(?:#+|=+)\s*|\s*(?:#+|=+)\s*$", "", s) if x.kind == "text" else _inline(x.kind, s)).replace("\\&", "&")
+            line = (re.sub(r"^\s*(?:#+|=+)\s*|\s*(?:#+|=+)\s*$", "", s) if x.kind == "text" else _inline(x.kind, s))
             flush()
         elif structure == "list" and notation != "html":
             if x.kind in ("begin", "finish"):

@@ -48,25 +48,35 @@ class Writer:
         return t + (f" & {self.words(1, 2)}" if self.r.random() < 0.15 else "")
 
     def alike(self) -> str:
-        """A plain line that only looks like markup."""
-        n = self.r.randint
-        return self.r.choice(
-            [
-                f"Price was ${n(1, 90)} last {self.words(1, 2)} and ${n(1, 90)} now.",
-                f"From ${n(5, 90)} to ${n(5, 90)} per {self.words(1, 1)}.",
-                f"Rated {n(1, 5)}/5 \\o/ by the {self.words(1, 2)}.",
-                f"Ratio 1:{n(5, 30)}, i.e. {n(1, 9)} * {n(1, 9)} * {n(1, 20)} ml.",
-                f"{self.words(1, 3).capitalize()} at > {n(60, 99)} °C = {self.words(1, 1)}.",
-                f"Lot AX_{n(1, 9)}_{self.r.choice('abc')} [sic] was {self.words(1, 2)}.",
-                f"We <{n(2, 4)} this {self.words(1, 2)}.",
-                f"Try {n(2, 9)} g & {n(50, 150)} ml.",
-                f"{self.words(1, 2).capitalize()} #{n(1, 9)} < {self.words(1, 1)} #{n(1, 9)}, and {self.words(2, 4)}.",
-                f"{self.words(1, 2)} {{{self.words(1, 2)}}} [{self.words(1, 2)}] ({self.words(1, 2)}).",
-                f"{self.words(2, 4).capitalize()} - {self.words(2, 4)} - {n(1, 99)}%.",
-                f"{self.words(2, 3).capitalize()} == {self.words(1, 2)} != {self.words(1, 2)}.",
-                f"It's {self.words(1, 2)} 'n' {self.words(1, 2)} \"{self.words(1, 2)}\".",
-            ]
-        )
+        """A plain line that only looks like markup: a sentence with some signs that notations use,
+        standing where plain text may have them."""
+        n, pick = self.r.randint, self.r.choice
+        word = lambda: self.words(1, 1)
+        signs = [
+            lambda: f"{pick(['$', 'US$', '€', '$'])}{n(1, 900)}",
+            lambda: f"{pick(['$', '$', '£'])}{n(1, 90)}.{n(10, 99)}",
+            lambda: f"{word()} {pick(['<', '>', '<=', '>=', '=', '==', '!='])} {pick([word(), str(n(1, 99))])}",
+            lambda: f"{pick(['<', '>', '~', '#', '±', '*', '^', '='])}{n(1, 99)}",
+            lambda: f"{n(1, 99)} {pick(['*', 'x', '/', '+', '-', '=', '|'])} {n(1, 99)} {pick(['*', '/', '=', '>', '|'])} {n(1, 99)}",
+            lambda: f"{word()}_{pick([word(), str(n(1, 99))])}_{pick([word(), str(n(1, 99)), pick('abcxyz')])}",
+            lambda: f"{word().upper()}_{n(1, 99)}",
+            lambda: f"{pick(['[', '(', '{', '<'])}{self.words(1, 2)}{pick([']', ')', '}', ' >'])}",
+            lambda: f"[{self.words(1, 2)}]",
+            lambda: f"{{{self.words(1, 2)}}}",
+            lambda: f"{word()}{pick(['&', ' & ', ' &', '/', '|', ' | ', '*', '#'])}{word()}",
+            lambda: f"{word()}*",
+            lambda: f"{pick('CDX')}:\\{word()}\\{word()}",
+            lambda: "".join(pick("\\/|<>:;()-^o3x") for _ in range(n(2, 3))),
+            lambda: f"{n(1, 99)}{pick(['%', '°C', '#', ' °F', '*'])}",
+            lambda: f"\"{self.words(1, 2)}\"{pick([' - ', ' -- ', ' = ', ': '])}'{word()}'",
+        ]
+        parts = [self.words(1, 4).capitalize()]
+        for _ in range(n(1, 3)):
+            parts += [pick(signs)(), self.words(1, 3)]
+        if self.r.random() < 0.3:
+            # Two amounts in a line enclose what is between them.
+            parts += [f"${n(1, 90)}", self.words(1, 3), f"${n(1, 90)}", self.words(0, 2)]
+        return " ".join(p for p in parts if p) + pick([".", ".", ".", "!", "?", ""])
 
     def formula(self) -> Piece:
         a, b, c = (self.r.choice("abcdkmnprtvwxyTVP") for _ in range(3))
@@ -90,7 +100,8 @@ class Writer:
         if k < 0.12:
             name = f"h{self.r.randint(1, 5)}"
             title = self.title().replace("&", self.r.choice(["&", "&amp;"]))
-            inner: list[Piece] = [(self.tag("span"), O), (title, H), ("</span>", H)] if self.r.random() < 0.3 else self.entities(title, H)
+            deep = self.r.choice([1, 1, 1, 2, 4])
+            inner: list[Piece] = [*[(self.tag("span"), O)] * deep, (title, H), *[("</span>", H)] * deep] if self.r.random() < 0.3 else self.entities(title, H)
             return [(self.tag(name), H), *inner, (f"</{name}>", H)]
         if k < 0.27:
             name, out = self.r.choice(["ul", "ol"]), []
@@ -180,7 +191,7 @@ class Writer:
             return [(f"{'=' * n}{sp}{self.title()}{sp}{'=' * n}", H)]
         if k < 0.5:
             mark = self.r.choice(["* ", "** ", "* ", "# ", "*"])
-            inner = self.r.choice([f"[[{self.words(1, 2).capitalize()}]]", f"'''{self.words(1, 2).capitalize()}'''", f"[[{self.words(1, 2).capitalize()}]]", f"'''{self.words(1, 2).capitalize()}'''", None] if self.r.random() < 0.3 else [f"[[{self.words(1, 2).capitalize()}]]", f"'''{self.words(1, 2).capitalize()}'''"])
+            inner = self.r.choice([f"[[{self.words(1, 2).capitalize()}]]", f"'''{self.words(1, 2).capitalize()}'''", f"[[{self.words(1, 2).capitalize()}]]", f"'''{self.words(1, 2).capitalize()}'''", None] if self.r.random() < 0.1 else [f"[[{self.words(1, 2).capitalize()}]]", f"'''{self.words(1, 2).capitalize()}'''"])
             out = [(mark + (self.sentence() if inner is None else ""), L)] + ([(inner, O)] if inner else [])
             for _ in range(self.r.randint(1, 3)):
                 out += [("\n", None), (mark + self.sentence(), L)]
@@ -228,6 +239,11 @@ class Writer:
         if self.r.random() < 0.06:
             blocks.append([(self.sentence() + " ", None), self.formula()])
         gap = self.r.choice(["\n\n", "\n\n", "\n\n", "\n", "\r\n", ""]) if kind == "html" else self.r.choice(["\n\n", "\n\n", "\n\n", "\n\n", "\r\n\r\n"])
+        if kind == "html" and self.r.random() < 0.12:
+            # Pages nest their content at any depth.
+            names = [self.r.choice(["div", "div", "section", "span", "article"]) for _ in range(self.r.randint(1, 12))]
+            blocks[0] = [*((self.tag(x), ("html", "other")) for x in names), *blocks[0]]
+            blocks[-1] = [*blocks[-1], *((f"</{x}>", ("html", "other")) for x in reversed(names))]
         text, ends = "", []
         for i, block in enumerate(blocks):
             # Marks of line-wise notations stand at line starts.
@@ -250,6 +266,11 @@ def examples(n: int, seed: int) -> list[tuple[np.ndarray, np.ndarray]]:
             continue
         at = np.array([e for e, _ in ends])
         y = np.array([ends[int(np.searchsorted(at, x.start + (len(text[x.start : x.end]) - len(text[x.start : x.end].lstrip())), side="right"))][1] for x in own])
+        covered = 0
+        for i, x in enumerate(own):
+            if x.end <= covered and y[i]:
+                y[i] = m.LABEL["latex", "other"]
+            covered = max(covered, x.end)
         out.append((m.vectors(text, own), y))
     return out
 
