@@ -19,6 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
 from .bpe import spread
 
 #: What labels may call a language (lower case, without region).
@@ -59,17 +60,19 @@ def label_language(label: Column) -> Column:
     return F.try_element_at(known, base)
 
 
+def _full(sentence: str) -> bool:
+    body = _NOISE.sub(" ", sentence)
+    words = _WORD.findall(body)
+    return (len(words) >= 4 and sum(map(len, words)) >= 12) or len(_CJK.findall(body)) >= 5
+
+
+_known_full = lru_cache(maxsize=CACHED_SENTENCES)(_full)
+
+
 def sentences(text: str) -> list[tuple[int, int]]:
     """(start, end) of every full sentence: enough letters, in words, to be one. Symbols, figures,
     single words and addresses are none."""
-    out = []
-    for m in _SENTENCE.finditer(text):
-        body = _NOISE.sub(" ", m[0])
-        cjk = len(_CJK.findall(body))
-        words = _WORD.findall(body)
-        if cjk >= 5 or (len(words) >= 4 and sum(map(len, words)) >= 12):
-            out.append(m.span())
-    return out
+    return [m.span() for m in _SENTENCE.finditer(text) if (_known_full if len(m[0]) <= 400 else _full)(m[0])]
 
 
 def plain(text: str) -> str:
@@ -82,12 +85,12 @@ def plain(text: str) -> str:
     return " " + _SPACE.sub(" ", re.sub(r"\d", "0", t)).strip() + " "
 
 
-def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, bucket) of every n-gram of the texts; n-grams never cross texts."""
+def grams_by_size(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """For each size of n-grams (text number, bucket) of every n-gram of the texts, in the order of the
+    texts; n-grams never cross texts."""
     size = np.fromiter(map(len, texts), dtype=np.int64, count=len(texts))
     codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), dtype=np.uint32).astype(np.uint64)
     owner = np.repeat(np.arange(len(texts), dtype=np.int64), size)
-    owners, buckets = [], []
     h = np.zeros(len(codes), dtype=np.uint64)
     for n in range(1, max(GRAMS) + 1):
         if len(codes) < n:
@@ -96,18 +99,23 @@ def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if n in GRAMS:
             inside = owner[: len(h)] == owner[n - 1 :]
             mixed = (h ^ (h >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(n)
-            owners.append(owner[: len(h)][inside])
-            buckets.append(((mixed >> np.uint64(33)) % np.uint64(BUCKETS)).astype(np.int64)[inside])
-    if not owners:
+            yield owner[: len(h)][inside], ((mixed >> np.uint64(33)) % np.uint64(BUCKETS)).astype(np.int64)[inside]
+
+
+def grams(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(text number, bucket) of every n-gram of the texts, all sizes."""
+    found = list(grams_by_size(texts))
+    if not found:
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
-    return np.concatenate(owners), np.concatenate(buckets)
+    return np.concatenate([o for o, _ in found]), np.concatenate([b for _, b in found])
 
 
 class Scorer:
     """Scores sentences with a fitted matrix; remembers the sentences it saw last."""
 
     def __init__(self, logp: np.ndarray):
-        self.logp = logp
+        # One row per bucket, so that an n-gram reads one row.
+        self.by_bucket = np.ascontiguousarray(logp.T)
         self.known: dict[str, tuple[int, float]] = {}
 
     def score(self, texts: list[str]) -> list[tuple[int, float]]:
@@ -123,9 +131,12 @@ class Scorer:
                 chars += len(new[at])
                 at += 1
             part = new[step:at]
-            owner, bucket = grams(part)
-            points = np.stack([np.bincount(owner, weights=row[bucket], minlength=len(part)) for row in self.logp], axis=1)
-            count = np.bincount(owner, minlength=len(part)).astype(float)
+            points, count = np.zeros((len(part), self.by_bucket.shape[1])), np.zeros(len(part))
+            for owner, bucket in grams_by_size(part):
+                if len(owner):
+                    start = np.flatnonzero(np.diff(owner, prepend=-1))
+                    points[owner[start]] += np.add.reduceat(self.by_bucket[bucket], start, axis=0, dtype=np.float64)
+                    count += np.bincount(owner, minlength=len(part))
             soft = points / np.sqrt(np.maximum(count, 1.0))[:, None]
             soft = np.exp(soft - soft.max(axis=1, keepdims=True))
             best = points.argmax(axis=1)
@@ -134,26 +145,40 @@ class Scorer:
         return [self.known[t] for t in texts]
 
 
-def _counts(rows: DataFrame, text: str, label: str, logp: np.ndarray | None) -> np.ndarray:
-    """n-gram counts (languages x buckets) of labelled texts. With a matrix, only sentences count whose
-    language by it is the label's. What reaches the driver is bounded by the matrix's size."""
+def _split(rows: DataFrame, text: str, label: str) -> DataFrame:
+    """(own, l): the distinct plain sentences of each labelled text, and the number of its language."""
     number = {c: i for i, c in enumerate(LANGUAGES)}
-    known = None if logp is None else rows.sparkSession.sparkContext.broadcast(logp)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        shown = lru_cache(maxsize=CACHED_SENTENCES)(plain)
+        for b in batches:
+            own = [list(dict.fromkeys(shown(t[i:j]) for i, j in sentences(t))) for t in b["t"]]
+            yield pd.DataFrame({"own": own, "l": b["l"].map(number)})
+
+    return rows.select(F.col(text).alias("t"), F.col(label).alias("l")).mapInPandas(run, "own array<string>, l int")
+
+
+def _counts(split: DataFrame, logp: np.ndarray | None) -> np.ndarray:
+    """n-gram counts (languages x buckets) of labelled sentences. With a matrix, only sentences count
+    whose language by it is the label's. What reaches the driver is bounded by the matrix's size."""
+    known = None if logp is None else split.sparkSession.sparkContext.broadcast(logp)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         scorer = None if known is None else Scorer(known.value)
         total = np.zeros(len(LANGUAGES) * BUCKETS, dtype=np.int64)
         for b in batches:
-            for t, l in zip(b["t"], b["l"]):
-                own = list(dict.fromkeys(plain(t[i:j]) for i, j in sentences(t)))
+            of: dict[int, list[str]] = {}
+            for own, l in zip(b["own"], b["l"]):
+                of.setdefault(int(l), []).extend(own)
+            for l, own in of.items():
                 if scorer is not None and own:
-                    own = [s for s, (g, _) in zip(own, scorer.score(own)) if g == number[l]]
+                    own = [s for s, (g, _) in zip(own, scorer.score(own)) if g == l]
                 if own:
-                    np.add.at(total, number[l] * BUCKETS + grams(own)[1], 1)
+                    total[l * BUCKETS : (l + 1) * BUCKETS] += np.bincount(grams(own)[1], minlength=BUCKETS)
         seen = np.flatnonzero(total)
         yield pd.DataFrame({"cell": seen, "n": total[seen]})
 
-    cells = rows.select(F.col(text).alias("t"), F.col(label).alias("l")).mapInPandas(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    cells = split.mapInPandas(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n"))
     got = cells.toPandas()
     out = np.zeros(len(LANGUAGES) * BUCKETS)
     out[got["cell"].to_numpy(dtype=np.int64)] = got["n"]
@@ -174,10 +199,12 @@ def fit(docs: DataFrame, key: str, text: str, label: str, rows: int = FIT_ROWS)
     labelled = docs.select(key, text, label_language(F.col(label)).alias("_label")).filter(F.col(text).isNotNull() & F.col("_label").isNotNull())
     n = labelled.count()
     if n > rows:
-        labelled = labelled.filter(F.pmod(F.xxhash64(F.lit("fit"), key), F.lit(1_000_000)) < int(1_000_000 * rows / n))
-    labelled = spread(labelled, key)
-    first = _matrix(_counts(labelled, text, "_label", None))
-    return _matrix(_counts(labelled, text, "_label", first))
+        # A little below the bound, so that the sample of hashes stays within it.
+        labelled = labelled.filter(F.pmod(F.xxhash64(F.lit("fit"), key), F.lit(1_000_000)) < int(980_000 * rows / n))
+    # Split into sentences once, for both fits.
+    split = checkpointed(_split(spread(labelled, key), text, "_label"))
+    first = _matrix(_counts(split, None))
+    return _matrix(_counts(split, first))
 
 
 SEGMENT = "array<struct<start:int,end:int,lang:string,confidence:double>>"
