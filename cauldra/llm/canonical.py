@@ -239,21 +239,25 @@ def _mapped_by_join(values: DataFrame, names: DataFrame) -> DataFrame:
 
     def cut_values(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [(v, r, x) for v in b["value"] for r in readings(v) if len(compact(r)) <= longest for x in deletes(compact(r), edits_allowed(compact(r)))]
-            yield pd.DataFrame(rows, columns=["value", "reading", "cut"])
+            rows = [(v, i, r, x) for v in b["value"] for i, r in enumerate(readings(v)) if len(compact(r)) <= longest for x in deletes(compact(r), edits_allowed(compact(r)))]
+            yield pd.DataFrame(rows, columns=["value", "nth", "reading", "cut"])
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ref = Reference([])
         for b in batches:
             got = [ref.rank(r, [(e, s)]) for r, e, s in zip(b["reading"], b["entry"], b["spaced"])]
-            yield pd.DataFrame({"value": b["value"], "entry": b["entry"], "distance": [g and g[0] for g in got]}).dropna()
+            same = [compact(r) == compact(s) for r, s in zip(b["reading"], b["spaced"])]
+            out = pd.DataFrame({"value": b["value"], "nth": b["nth"], "entry": b["entry"], "distance": [g and g[0] for g in got], "same": same})
+            yield out[out["distance"].notna()]
 
     longest = (names.agg(F.max(F.length("name")).alias("n")).first()["n"] or 0) + MAX_EDITS
     theirs = names.mapInPandas(cut, "entry long, spaced string, cut string")
-    ours = values.mapInPandas(cut_values, "value string, reading string, cut string")
-    pairs = ours.join(theirs, "cut").select("value", "reading", "entry", "spaced").distinct()
-    scored = pairs.mapInPandas(score, "value string, entry long, distance double")
-    exact = scored.filter("distance = 0").join(values, "value").groupBy("entry").agg(F.sum("rows").alias("f"))
+    ours = values.mapInPandas(cut_values, "value string, nth int, reading string, cut string")
+    pairs = ours.join(theirs, "cut").select("value", "nth", "reading", "entry", "spaced").distinct()
+    scored = pairs.mapInPandas(score, "value string, nth int, entry long, distance double, same boolean")
+    # As exact() has it: a value counts once, for the first entry that its first exact reading writes.
+    first = scored.filter("same").groupBy("value").agg(F.min(F.struct("nth", "entry")).alias("m")).select("value", F.col("m.entry").alias("entry"))
+    exact = first.join(values, "value").groupBy("entry").agg(F.sum("rows").alias("f"))
     best = scored.join(exact, "entry", "left").groupBy("value").agg(F.min(F.struct("distance", (-F.coalesce("f", F.lit(0))).alias("f"), "entry")).alias("b"))
     out = values.join(best, "value", "left")
     return out.select("value", F.coalesce("b.entry", F.lit(0).cast("long")).alias("entry"), F.col("b.distance").alias("distance"), "rows")

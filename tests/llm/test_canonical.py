@@ -54,3 +54,12 @@ def test_frequency_breaks_ties():
 def test_latest_listing(spark):
     df = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (None, "c", 3)], "id long, t string, n int").select(F.struct(F.timestamp_seconds("n").alias("scraped_at"), F.lit("r").alias("run_id"), F.lit(0).alias("record_index")).alias("ingest_meta"), F.struct("id", F.col("t").alias("product_type")).alias("payload"))
     assert [tuple(r) for r in c.latest_listings(df, "product_type").collect()] == [(1, "b")]
+
+
+def test_ties_are_alike_by_broadcast_and_by_join(spark):
+    """Entries at one distance go by how often they are written exactly, whatever way the list is read."""
+    ref = spark.createDataFrame([(1, "Lang", None), (2, "Gang", None), (3, "Ju Lang", ["Julang"]), (4, "Oolongs", None), (5, "Oolonga", None)], "type_id long, type_name string, aka array<string>")
+    rows = ["Gang"] * 3 + ["Lang"] * 2 + ["G ang", "Mang", "Oolongx", "Ju  Lang", "julang", "Gang, Lang", None, " "]
+    values = spark.createDataFrame([(x,) for x in rows], "v string")
+    a, b = ({(r["value"], r["entry"], r["distance"], r["rows"]) for r in c.map_values(values, "v", ref, "type_id", "type_name", "aka", n).collect()} for n in (100, 0))
+    assert a == b and {r[0]: r[1] for r in a}["Mang"] == 2
