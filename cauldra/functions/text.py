@@ -25,6 +25,17 @@ def nfc(text: Column) -> Column:
     return F.when(text.rlike(r"^\p{ASCII}*$"), text).otherwise(_nfc(F.when(~text.rlike(r"^\p{ASCII}*$"), text)))
 
 
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def _nfc_each(s: pd.Series) -> pd.Series:
+    return s.map(lambda a: None if a is None else [None if t is None else unicodedata.normalize("NFC", t) for t in a])
+
+
+def nfc_each(texts: Column) -> Column:
+    """Unicode NFC of every element; arrays of ASCII texts stay in the JVM."""
+    plain = F.coalesce(F.forall(texts, lambda t: t.rlike(r"^\p{ASCII}*$")), F.lit(True))
+    return F.when(plain, texts).otherwise(_nfc_each(F.when(~plain, texts)))
+
+
 def collapse(text: Column) -> Column:
     """Runs of white space to one space, none at the ends."""
     return F.regexp_replace(F.regexp_replace(text, r"(?U)\s+", " "), r"^ | $", "")
@@ -51,7 +62,20 @@ def safe_int(text: Column) -> Column:
 
 
 def truthy(value: Column) -> Column:
-    return F.coalesce(value.try_cast("boolean"), F.lit(False))
+    """Whether a variant holds a value that counts as true: true itself, a number but zero, a text, list
+    or object with anything in it. Null and missing are false."""
+    kind = F.schema_of_variant(value)
+    as_text = F.try_variant_get(value, "$", "string")
+    number = F.try_variant_get(value, "$", "double")
+    told = (
+        F.when(kind == "BOOLEAN", F.try_variant_get(value, "$", "boolean"))
+        .when(kind == "VOID", False)
+        .when(kind == "STRING", as_text != "")
+        .when(kind.startswith("ARRAY"), as_text != "[]")
+        .when(kind.startswith("OBJECT"), as_text != "{}")
+        .otherwise(number != 0)
+    )
+    return F.coalesce(told, F.lit(False))
 
 
 def person_hash(name: Column) -> Column:
@@ -75,7 +99,7 @@ def content_hash(**fields: Column) -> Column:
 
 def description_hash(title: Column, body: Column, tags: Column) -> Column:
     """A listing's description: blind to the order of tags and to Unicode form, not to case."""
-    known = F.coalesce(F.sort_array(F.filter(tags, lambda t: t.isNotNull())), F.array().cast("array<string>"))
+    known = F.coalesce(F.sort_array(nfc_each(F.filter(tags, lambda t: t.isNotNull()))), F.array().cast("array<string>"))
     return content_hash(title=nfc(title), body_html=nfc(body), tags=known)
 
 

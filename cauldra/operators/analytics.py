@@ -19,9 +19,9 @@ def cosine(a: Column, b: Column) -> Column:
 def nearest(items: DataFrame, queries: DataFrame, ident: str, vector: str, k: int, candidates: Column | None = None, block_rows: int = 256) -> DataFrame:
     """(query_id, id, sim, rank): the k most similar other items of each query, exactly.
 
-    A stated set of queries against all items: the queries are cut into blocks, and each block is
-    joined to the items as one array of vectors, so that an item row meets a block, not a query. Per
-    task only the best k of a query survive before the shuffle. ``candidates`` restricts the items (an
+    A stated set of queries against all items. Up to 64 blocks of queries are broadcast; more are cut
+    into blocks, as the items are, and every block of queries meets every block of items in a task of
+    its own, both bounded. Per task only the best k of a query survive before the shuffle. ``candidates`` restricts the items (an
     availability filter, for example). Ties go to the smaller id.
     """
     import numpy as np
@@ -60,14 +60,46 @@ def nearest(items: DataFrame, queries: DataFrame, ident: str, vector: str, k: in
         kind = items.schema[ident].dataType.simpleString()
         near = pool.mapInPandas(best, f"query_id {kind}, `{ident}` {kind}, sim double")
     else:
-        blocks = q.withColumn("_b", F.pmod(F.xxhash64("query_id"), F.lit(1024))).groupBy("_b").agg(F.collect_list(F.struct("query_id", "qv")).alias("qs"))
-        near = pool.join(blocks.withColumn("_all", F.lit(1)), F.lit(1) == F.col("_all")).select(ident, vector, F.explode("qs").alias("q")).filter(F.col("q.query_id") != F.col(ident)).select(F.col("q.query_id").alias("query_id"), ident, cosine(F.col("q.qv"), F.col(vector)).alias("sim")).filter("sim is not null")
+        near = _nearest_by_blocks(pool, q, ident, vector, k)
     from pyspark.sql import Window
 
     w = Window.partitionBy("query_id").orderBy(F.col("sim").desc(), F.col(ident))
     return near.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= k)
 
 
+#: Rows of a block of items, and of queries, that one task multiplies.
+ITEM_BLOCK, QUERY_BLOCK = 50_000, 4_096
+
+
+def _nearest_by_blocks(pool: DataFrame, q: DataFrame, ident: str, vector: str, k: int, item_block: int = ITEM_BLOCK, query_block: int = QUERY_BLOCK) -> DataFrame:
+    """The best k items of each query and block of items, by (block of queries, block of items)."""
+    import numpy as np
+    import pandas as pd
+
+    items, queries = max(1, -(-pool.count() // item_block)), max(1, -(-q.count() // query_block))
+    kind = pool.schema[ident].dataType.simpleString()
+    blocks = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    i = pool.withColumn("_i", F.pmod(F.xxhash64(ident), F.lit(items)).cast("int")).withColumn("_q", blocks(queries))
+    j = q.withColumn("_q", F.pmod(F.xxhash64("query_id"), F.lit(queries)).cast("int")).withColumn("_i", blocks(items))
+
+    def best(a: pd.DataFrame, b: pd.DataFrame) -> pd.DataFrame:
+        out = []
+        if len(a) and len(b):
+            m, v = np.stack(a[vector].to_numpy()).astype(float), np.stack(b["qv"].to_numpy()).astype(float)
+            own = a[ident].to_numpy()
+            with np.errstate(invalid="ignore", divide="ignore"):
+                m, v = m / np.linalg.norm(m, axis=1)[:, None], v / np.linalg.norm(v, axis=1)[:, None]
+            for at in range(0, len(v), 256):
+                for row, x in zip(v[at : at + 256] @ m.T, b["query_id"].to_numpy()[at : at + 256]):
+                    row = np.where((own == x) | ~np.isfinite(row), -np.inf, row)
+                    top = np.lexsort((own, -row))[:k]
+                    top = top[np.isfinite(row[top])]
+                    out.append(pd.DataFrame({"query_id": x, ident: own[top], "sim": row[top]}))
+        return pd.concat(out) if out else pd.DataFrame({"query_id": [], ident: [], "sim": []})
+
+    return i.groupBy("_q", "_i").cogroup(j.groupBy("_q", "_i")).applyInPandas(best, f"query_id {kind}, `{ident}` {kind}, sim double")
+
+
 def ngram_counts(docs: DataFrame, text: str, n: int, by: list[str] | None = None) -> DataFrame:
     """(by columns, ngram, n) of word n-grams in lower case; counts combine before the shuffle."""
     words = F.filter(F.split(F.lower(text), r"(?U)[^\p{L}\p{N}]+"), lambda w: w != "")

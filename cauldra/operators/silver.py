@@ -7,14 +7,14 @@ plain Parquet has no merge.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import catalog as c
 from ..functions import text as t
 from .bronze import new_only
 
-PAYLOAD = "struct<id:long,title:string,handle:string,body_html:string,vendor:string,product_type:string,tags:array<string>,variants:array<struct<id:long,title:string,option1:string,price:string,available:boolean>>>"
+PAYLOAD = "struct<id:long,title:string,handle:string,body_html:string,vendor:string,product_type:string,tags:array<string>,variants:array<struct<id:long,title:string,option1:string,price:string,available:variant>>>"
 
 
 def read_payload(bronze: DataFrame, schema: str = PAYLOAD) -> DataFrame:
@@ -22,6 +22,12 @@ def read_payload(bronze: DataFrame, schema: str = PAYLOAD) -> DataFrame:
     return bronze.withColumn("p", F.from_json("payload", schema, {"mode": "PERMISSIVE"}))
 
 
+def _available(rows: DataFrame) -> Column:
+    """Availability as it was read: a boolean, or a value of any type by what counts as true."""
+    kind = rows.schema["p"].dataType["variants"].dataType.elementType["available"].dataType.typeName()
+    return t.truthy(F.col("v.available")) if kind == "variant" else F.coalesce("v.available", F.lit(False))
+
+
 def map_products(rows: DataFrame, skip_kind: str = "non-tea") -> DataFrame:
     """One row per variant, or one row without variant for listings that have none.
 
@@ -69,7 +75,7 @@ def map_products(rows: DataFrame, skip_kind: str = "non-tea") -> DataFrame:
         F.coalesce("variant_pos", F.lit(0)).alias("variant_pos"),
         F.concat_ws(":", F.coalesce("_pid", "external_id"), F.coalesce(F.col("v.id").cast("string"), F.lit(""))).alias("vendor_external_id"),
         weight.alias("weight_grams"),
-        F.coalesce("v.available", F.lit(False)).alias("available"),
+        _available(rows).alias("available"),
         t.cents(F.col("v.price")).alias("price_cents"),
         gate.alias("gate"),
     )

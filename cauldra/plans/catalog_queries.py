@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import catalog as c
+from ..functions import pages
 from ..functions import text as t
 from ..functions.trigrams import similarity
 from ..operators import analytics, bronze, recency, resolve, silver
@@ -120,12 +121,14 @@ def variant_fanout(spark: SparkSession, d: str) -> DataFrame:
 
 
 def map_counters(spark: SparkSession, d: str) -> DataFrame:
-    return silver.map_counters(silver.map_products(_listings(spark, d))).select("source", "variants", "rows")
+    return silver.map_counters(silver.map_products(_listings(spark, d)))
 
 
 def mapped_products(spark: SparkSession, d: str) -> DataFrame:
-    """Every variant with all mapped fields and its gate."""
-    return silver.map_products(_listings(spark, d)).drop("snapshot_id")
+    """Every variant with what it is mapped to, and its gate; hints, years and hashes have queries of
+    their own."""
+    m = silver.map_products(_listings(spark, d))
+    return m.select("source", "external_id", "scraped_at", "variant_pos", "canonical_name", "tea_type", F.col("producer.name").alias("producer"), "weight_grams", "gate")
 
 
 def price_cents(spark: SparkSession, d: str) -> DataFrame:
@@ -183,6 +186,41 @@ def html_shapes(spark: SparkSession, d: str) -> DataFrame:
     return b.select("payload_id", F.regexp_extract("b", r"<h2>([^<]*)</h2>", 1).alias("heading"), F.regexp_count("b", F.lit(r"<a href=")).alias("links"), F.md5("b").alias("page"))
 
 
+def review_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Every customer with its orders, written as a review page and read back by the page operators."""
+    note = F.concat(
+        F.lit('<div class="note" id="note_'), F.col("o_orderkey"), F.lit('"><meta itemprop="name" content="'), F.col("o_orderpriority"), F.lit('"><span itemprop="ratingValue"> '), F.col("o_orderkey") % 100,
+        F.lit('</span><p itemprop="description">Paid &amp; <b>'), F.col("o_orderstatus"), F.lit('</b></p><span class="likes-count">x</span></div>'),
+    )
+    orders = table(spark, d, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderkey", note.alias("note"))
+    notes = orders.groupBy("c_custkey").agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "note"))).alias("n"))
+    c_ = table(spark, d, "customer").join(notes, "c_custkey", "left")
+    link = F.concat(F.lit('<a href="/teas/s/n'), F.col("c_nationkey"), F.lit('">x</a>'))
+    page = F.concat(
+        F.lit("<html><h1 itemprop='name'>  "), F.col("c_name"), F.lit(' </h1><span id="rating-average">'), F.col("c_custkey") % 101, F.lit('</span><dl class="tea-description"><dt>Segment</dt><dd>'), F.col("c_mktsegment"),
+        F.lit('</dd><dt>Segment</dt><dd>again</dd></dl><div class="tea-prep"><div class="prep-details"><span class="temp">'), F.col("c_nationkey"), F.lit(" C</span></div></div>"), link, link, F.lit('<a href="/teas/o/x">y</a>'),
+        F.array_join(F.transform(F.coalesce("n", F.array().cast("array<struct<o_orderkey:long,note:string>>")), lambda x: x["note"]), ""), F.when(F.col("c_custkey") % 2 == 0, F.lit('<a href="?page=2">Next</a>')).otherwise(F.lit("<a href='/?page=2'>Nexts</a>")),
+    )
+    read = c_.select("c_custkey", page.alias("page")).select("c_custkey", pages.read_page(F.col("page")).alias("p"), pages.page_links(F.col("page"), r"/teas/s/\w+").alias("links"))
+    last = F.try_element_at("p.notes", F.lit(-1))
+    return read.select("c_custkey", "p.name", "p.average_rating", F.col("p.description_pairs")["Segment"].alias("segment"), F.col("p.prep")["temp"].alias("temp"), F.size("p.notes").alias("notes"), last["note_id"].alias("last_note"), last["author"].alias("last_author"), last["rating"].alias("last_rating"), last["body"].alias("last_body"), F.array_join("links", ",").alias("links"), "p.has_next")
+
+
+def script_audit(spark: SparkSession, d: str) -> DataFrame:
+    """Characters by script in every document."""
+    n = lambda script: F.regexp_count("text", F.lit(rf"\p{{Is{script}}}")).alias(script.lower())
+    return table(spark, d, "documents").select("doc_id", *[n(x) for x in ("Latin", "Cyrillic", "Han", "Hiragana", "Katakana")])
+
+
+def axis_differences(spark: SparkSession, d: str) -> DataFrame:
+    """How a supplier's returned lines differ from its accepted ones, axis by axis, large ones flagged."""
+    axes = {"quantity": F.col("l_quantity"), "discount": F.col("l_discount") * 100, "tax": F.col("l_tax") * 100}
+    side = lambda flag: F.map_from_entries(F.array(*[F.struct(F.lit(k), F.round(F.avg(F.when(F.col("l_returnflag") == flag, v)), 3)) for k, v in axes.items()]))
+    by = table(spark, d, "lineitem").groupBy("l_suppkey").agg(side("R").alias("a"), side("A").alias("b"))
+    told = by.select("l_suppkey", F.inline(analytics.axis_deltas(F.col("a"), F.col("b"), 0.5)))
+    return told.select("l_suppkey", "axis", F.round("delta", 3).alias("delta"), "flagged")
+
+
 def trigram_pairs(spark: SparkSession, d: str) -> DataFrame:
     """Similar names within a brand and size, through the trigram index."""
     part = table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_size")
@@ -236,6 +274,13 @@ def resolved_producers(spark: SparkSession, d: str) -> DataFrame:
     return resolve.resolve_producers(hints, table(spark, d, "producer")).select("key", "producer_id", "how")
 
 
+def producer_aliases(spark: SparkSession, d: str) -> DataFrame:
+    """Aliases that makers gain by what is found for vendor fields."""
+    hints = table(spark, d, "white2tea").select(F.col("payload.vendor").alias("name")).filter("name is not null")
+    producer = table(spark, d, "producer")
+    return resolve.new_aliases(producer, resolve.resolve_producers(hints, producer))
+
+
 def ladder_products(spark: SparkSession, d: str) -> DataFrame:
     """The ladder over all products as they were typed, from an empty table."""
     p = table(spark, d, "product").select(F.col("product_id").alias("row_no"), F.col("canonical_name").alias("name"), "producer_id", "harvest_year", "weight_grams")
@@ -274,7 +319,7 @@ def run_statuses(spark: SparkSession, d: str) -> DataFrame:
     return table(spark, d, "scrape_run").groupBy("source", "status").agg(F.count(F.lit(1)).alias("runs"), F.sum("errors_count").alias("errors"))
 
 
-_ALL = (scan_since, json_fields, payload_hashes, bronze_first_wins, bronze_new_only, bronze_consecutive, load_counters, numbered_rows, latest_snapshot, last_available, tier_catalog, tier_changes, tier_counts, touched_products, new_facts, variant_fanout, map_counters, mapped_products, price_cents, name_keys, person_hashes, weight_parse, year_parse, tag_parse, tag_keys, producer_hints, product_urls, description_hashes, html_shapes, trigram_pairs, ambiguity_label, null_safe_match, get_or_create_dim, upserted_listings, alias_match, resolved_producers, ladder_products, cosine_topk, status_pivot, body_of_work, ngram_freq, keyword_context, hierarchy_rollup, run_statuses)
+_ALL = (scan_since, json_fields, payload_hashes, bronze_first_wins, bronze_new_only, bronze_consecutive, load_counters, numbered_rows, latest_snapshot, last_available, tier_catalog, tier_changes, tier_counts, touched_products, new_facts, variant_fanout, map_counters, mapped_products, price_cents, name_keys, person_hashes, weight_parse, year_parse, tag_parse, tag_keys, producer_hints, product_urls, description_hashes, html_shapes, review_pages, script_audit, axis_differences, trigram_pairs, ambiguity_label, null_safe_match, get_or_create_dim, upserted_listings, alias_match, resolved_producers, producer_aliases, ladder_products, cosine_topk, status_pivot, body_of_work, ngram_freq, keyword_context, hierarchy_rollup, run_statuses)
 QUERIES = {f.__name__: f for f in _ALL}
 
 _ROWS = "SELECT source, external_id, lower(payload_hash) AS payload_hash, snapshot_id, run_id, scraped_at, payload FROM raw_product_snapshot"
@@ -309,6 +354,52 @@ def _tiers(as_of: str, months: int) -> str:
 _CENTS = "TRY_CAST(round_even(TRY_CAST({0} AS DOUBLE) * 100, 0) AS INTEGER)"
 _HTTP = "CASE WHEN trim({h}) <> '' THEN rtrim({b}, '/') || '/products/' || {h} END"
 
+_BARE = f"'^{_WS}+|{_WS}+$'"
+_MASS = r"(?:g|grams?|kg|kilograms?)"
+
+
+def _stated(text: str, pattern: str, number: int, unit: int, count: int | None = None) -> str:
+    part = lambda k: f"regexp_extract({text}, '(?i){pattern}', {k})"
+    n = f"TRY_CAST({part(number)} AS DOUBLE)" + (f" * TRY_CAST({part(count)} AS DOUBLE)" if count else "")
+    return f"round_even({n} * CASE WHEN lower({part(unit)}) LIKE 'k%' THEN 1000 ELSE 1 END, 0)"
+
+
+def _option(text: str) -> str:
+    one = rf"(\d+(?:\.\d+)?){_WS}*({_MASS})"
+    return f"coalesce({_stated(text, rf'\({one}\)', 1, 2)}, {_stated(text, rf'(\d+){_WS}*x{_WS}*{one}\b', 2, 3, 1)}, {_stated(text, one + r'\b', 1, 2)})"
+
+
+_TITLED = rf"TRY_CAST(regexp_extract(title, '(?i)(\d{{2,4}}){_WS}*(?:g|grams?)\b', 1) AS INTEGER)"
+_MAPPED = f"""
+    SELECT *, CASE WHEN skip THEN 'skipped' WHEN canonical_name IS NULL OR canonical_name = '' OR weight_grams IS NULL THEN 'unmappable' ELSE 'ok' END AS gate
+    FROM (SELECT n, source, external_id, scraped_at, CAST(coalesce(row_number() OVER (PARTITION BY n ORDER BY i) - 1, 0) AS INTEGER) AS variant_pos, regexp_replace(nfc_normalize(title), {_BARE}, '', 'g') AS canonical_name,
+                 nullif(regexp_replace(regexp_replace(nfc_normalize(kind), '{_WS}+', ' ', 'g'), '^ | $', '', 'g'), '') AS tea_type, coalesce(tagged, nullif(regexp_replace(regexp_replace(maker, '{_WS}+', ' ', 'g'), '^ | $', '', 'g'), '')) AS producer,
+                 CASE WHEN v IS NOT NULL THEN CAST(coalesce({_option('v.option1')}, {_option('v.title')}, {_TITLED}) AS INTEGER) END AS weight_grams,
+                 coalesce(lower(regexp_replace(kind, {_BARE}, '', 'g')) = 'non-tea', false) OR coalesce(len(list_filter(tags, lambda x: lower(regexp_replace(x, {_BARE}, '', 'g')) = 'non-tea')), 0) > 0 AS skip
+          FROM (SELECT n, source, external_id, scraped_at, title, kind, maker, tags, unnest(vs) AS v, generate_subscripts(vs, 1) AS i,
+                       nullif(regexp_replace(regexp_extract(list_filter(list_transform(tags, lambda x: regexp_replace(x, {_BARE}, '', 'g')), lambda x: regexp_matches(x, '^Producer_(?s:.*[^\\s])'))[1], '^Producer_((?s).+)$', 1), '{_WS}+', ' ', 'g'), '') AS tagged
+                FROM (SELECT row_number() OVER () AS n, ingest_meta.source AS source, ingest_meta.external_id AS external_id, ingest_meta.scraped_at AS scraped_at, payload.title AS title, payload.product_type AS kind, payload.vendor AS maker, payload.tags AS tags,
+                             CASE WHEN coalesce(len(list_filter(payload.variants, lambda x: x IS NOT NULL)), 0) = 0 THEN [NULL] ELSE list_filter(payload.variants, lambda x: x IS NOT NULL) END AS vs FROM white2tea)))"""
+_RESOLVED = f"""
+    WITH RECURSIVE probe AS (SELECT DISTINCT regexp_replace(regexp_replace(lower(nfc_normalize(payload.vendor)), '{_WS}+', ' ', 'g'), '^ | $', '', 'g') AS key FROM white2tea WHERE payload.vendor IS NOT NULL),
+    al AS (SELECT key, min(producer_id) AS id FROM (SELECT producer_id, unnest(aliases) AS key FROM producer) WHERE key IS NOT NULL GROUP BY 1),
+    nm AS (SELECT lower(canonical_name) AS key, min(producer_id) AS id FROM producer GROUP BY 1),
+    rest AS MATERIALIZED (SELECT key, {_tri('key')} AS g FROM probe WHERE key <> '' AND key NOT IN (SELECT key FROM al) AND key NOT IN (SELECT key FROM nm)),
+    pg AS MATERIALIZED (SELECT producer_id, {_tri('canonical_name')} AS g FROM producer),
+    cl AS MATERIALIZED (SELECT key, arg_min(producer_id, (-sim, producer_id)) AS id, max(sim) AS sim FROM (
+        SELECT key, producer_id, len(list_intersect(rest.g, pg.g)) / (len(rest.g) + len(pg.g) - len(list_intersect(rest.g, pg.g))) AS sim FROM rest, pg) WHERE sim >= 0.85 GROUP BY 1),
+    peers AS MATERIALIZED (SELECT key, other, sim FROM (SELECT a.key, b.key AS other, len(list_intersect(a.g, b.g)) / (len(a.g) + len(b.g) - len(list_intersect(a.g, b.g))) AS sim FROM rest a JOIN rest b ON a.key > b.key AND b.key NOT IN (SELECT key FROM cl)) WHERE sim >= 0.85),
+    numbered AS MATERIALIZED (SELECT key, row_number() OVER (ORDER BY key) AS i, (SELECT list(other) FROM peers p WHERE p.key = rest.key) AS earlier FROM rest WHERE key NOT IN (SELECT key FROM cl)),
+    walk AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS leaders
+             UNION ALL SELECT n.i, CASE WHEN n.earlier IS NOT NULL AND list_has_any(leaders, n.earlier) THEN leaders ELSE list_append(leaders, n.key) END FROM walk JOIN numbered n ON n.i = walk.i + 1),
+    led AS (SELECT unnest(leaders) AS key FROM walk WHERE i = (SELECT max(i) FROM walk)),
+    lk AS (SELECT peers.key, max(sim) AS sim FROM peers WHERE other IN (SELECT key FROM led) GROUP BY 1),
+    resolved AS (
+        SELECT probe.key, CASE WHEN newer THEN NULL ELSE coalesce(al_id, nm_id, cl_id) END AS producer_id,
+               CASE WHEN al_id IS NOT NULL THEN 'alias' WHEN nm_id IS NOT NULL THEN 'name' WHEN cl_id IS NOT NULL OR newer THEN 'trigram' ELSE 'create' END AS how
+        FROM (SELECT probe.key, al.id AS al_id, nm.id AS nm_id, cl.id AS cl_id, al.id IS NULL AND nm.id IS NULL AND lk.sim IS NOT NULL AND (cl.sim IS NULL OR lk.sim > cl.sim) AS newer
+              FROM probe LEFT JOIN al USING (key) LEFT JOIN nm USING (key) LEFT JOIN cl USING (key) LEFT JOIN lk USING (key) WHERE probe.key <> '') probe)"""
+
 ORACLE = {
     "scan_since": f"SELECT snapshot_id, source, external_id FROM raw_product_snapshot WHERE scraped_at >= TIMESTAMP '{SINCE}'",
     "json_fields": "SELECT snapshot_id, CAST(payload->>'$.id' AS BIGINT) AS payload_id, payload->>'$.title' AS title, payload->>'$.variants[0].price' AS first_price FROM raw_product_snapshot",
@@ -334,7 +425,9 @@ ORACLE = {
         FROM (SELECT row_number() OVER () AS n, ingest_meta.external_id AS external_id, ingest_meta.scraped_at AS scraped_at, CAST(payload.id AS VARCHAR) AS pid, unnest(payload.variants) AS v, generate_subscripts(payload.variants, 1) AS i FROM white2tea) WHERE v IS NOT NULL
         UNION ALL
         SELECT ingest_meta.external_id, ingest_meta.scraped_at, 0, CAST(payload.id AS VARCHAR) || ':', NULL, false FROM white2tea WHERE coalesce(len(list_filter(payload.variants, lambda x: x IS NOT NULL)), 0) = 0""",
-    "map_counters": "SELECT ingest_meta.source AS source, CAST(sum(greatest(coalesce(len(list_filter(payload.variants, lambda x: x IS NOT NULL)), 0), 1)) AS BIGINT) AS variants, count(*) AS rows FROM white2tea GROUP BY 1",
+    "map_counters": f"""
+        SELECT source, count(*) FILTER (first) AS rows, count(*) AS variants, count(*) FILTER (gate = 'skipped') AS skipped, count(*) FILTER (gate = 'unmappable') AS unmappable, count(*) FILTER (gate = 'ok') AS mapped
+        FROM (SELECT *, row_number() OVER (PARTITION BY n ORDER BY variant_pos) = 1 AS first FROM ({_MAPPED})) GROUP BY 1""",
     "price_cents": f"SELECT v.id AS variant_id, v.price AS price, {_CENTS.format('v.price')} AS cents FROM ({_VARIANTS}) WHERE v.id IS NOT NULL",
     "name_keys": f"SELECT title, regexp_replace(regexp_replace(lower(nfc_normalize(title)), '{_WS}+', ' ', 'g'), '^ | $', '', 'g') AS name_key FROM (SELECT DISTINCT payload.title AS title FROM white2tea)",
     "person_hashes": "SELECT c_custkey, 'sha256:' || sha256(lower(trim(c_name))) AS person FROM customer",
@@ -383,23 +476,34 @@ ORACLE = {
     "alias_match": """
         SELECT name, min(producer_id) AS producer_id FROM (SELECT DISTINCT payload.vendor AS name FROM white2tea WHERE payload.vendor IS NOT NULL)
         JOIN (SELECT producer_id, canonical_name AS name FROM producer UNION SELECT producer_id, unnest(aliases) FROM producer) USING (name) GROUP BY 1""",
-    "resolved_producers": f"""
-        WITH probe AS (SELECT DISTINCT regexp_replace(regexp_replace(lower(nfc_normalize(payload.vendor)), '{_WS}+', ' ', 'g'), '^ | $', '', 'g') AS key FROM white2tea WHERE payload.vendor IS NOT NULL),
-        al AS (SELECT key, min(producer_id) AS id FROM (SELECT producer_id, unnest(aliases) AS key FROM producer) WHERE key IS NOT NULL GROUP BY 1),
-        nm AS (SELECT lower(canonical_name) AS key, min(producer_id) AS id FROM producer GROUP BY 1),
-        rest AS (SELECT key, {_tri('key')} AS g FROM probe WHERE key <> '' AND key NOT IN (SELECT key FROM al) AND key NOT IN (SELECT key FROM nm)),
-        pg AS (SELECT producer_id, {_tri('canonical_name')} AS g FROM producer),
-        cl AS (SELECT key, arg_min(producer_id, (-sim, producer_id)) AS id FROM (
-            SELECT key, producer_id, len(list_intersect(rest.g, pg.g)) / (len(rest.g) + len(pg.g) - len(list_intersect(rest.g, pg.g))) AS sim FROM rest, pg) WHERE sim >= 0.85 GROUP BY 1)
-        SELECT key, coalesce(al.id, nm.id, cl.id) AS producer_id, CASE WHEN al.id IS NOT NULL THEN 'alias' WHEN nm.id IS NOT NULL THEN 'name' WHEN cl.id IS NOT NULL THEN 'trigram' ELSE 'create' END AS how
-        FROM probe LEFT JOIN al USING (key) LEFT JOIN nm USING (key) LEFT JOIN cl USING (key) WHERE key <> ''""",
+    "resolved_producers": f"{_RESOLVED} SELECT key, producer_id, how FROM resolved",
+    "producer_aliases": f"""{_RESOLVED}
+        SELECT DISTINCT r.producer_id, r.key AS alias FROM resolved r JOIN producer p ON p.producer_id = r.producer_id
+        WHERE how IN ('name', 'trigram') AND NOT coalesce(list_contains(p.aliases, r.key), false)""",
+    "mapped_products": f"SELECT source, external_id, scraped_at, variant_pos, canonical_name, tea_type, producer, weight_grams, gate FROM ({_MAPPED})",
+    "review_pages": """
+        WITH n AS (SELECT o_custkey, count(*) AS notes, max(o_orderkey) AS last_note, arg_max(o_orderpriority, o_orderkey) AS last_author, arg_max(o_orderstatus, o_orderkey) AS st FROM orders GROUP BY 1)
+        SELECT c_custkey, c_name AS name, CAST(c_custkey % 101 AS INTEGER) AS average_rating, c_mktsegment AS segment, c_nationkey || ' C' AS temp, CAST(coalesce(notes, 0) AS INTEGER) AS notes, last_note, last_author,
+               CAST(last_note % 100 AS INTEGER) AS last_rating, 'Paid & ' || st AS last_body, '/teas/s/n' || c_nationkey AS links, c_custkey % 2 = 0 AS has_next FROM customer LEFT JOIN n ON o_custkey = c_custkey""",
+    "script_audit": "SELECT doc_id, " + ", ".join(f"CAST(len(regexp_extract_all(text, '\\p{{{x}}}')) AS INTEGER) AS {x.lower()}" for x in ("Latin", "Cyrillic", "Han", "Hiragana", "Katakana")) + " FROM documents",
+    "axis_differences": """
+        WITH m AS (SELECT l_suppkey, l_returnflag AS f, round(avg(l_quantity), 3) AS quantity, round(avg(l_discount * 100), 3) AS discount, round(avg(l_tax * 100), 3) AS tax FROM lineitem GROUP BY 1, 2),
+        x AS (UNPIVOT m ON quantity, discount, tax INTO NAME axis VALUE v),
+        s AS (SELECT l_suppkey, axis, max(v) FILTER (f = 'R') AS a, max(v) FILTER (f = 'A') AS b FROM x GROUP BY 1, 2)
+        SELECT l_suppkey, axis, round(a - b, 3) AS delta, abs(a - b) > 0.5 AS flagged FROM s""",
+    "keyword_context": r"""
+        WITH d AS (SELECT doc_id, lower(text) AS t, string_split(lower(text), 'gaiwan') AS p FROM documents WHERE text IS NOT NULL),
+        o AS (SELECT doc_id, t, CAST(list_sum(list_transform(p[1:i], lambda x: length(x))) AS BIGINT) + 6 * (i - 1) + 1 AS s FROM (SELECT doc_id, t, p, unnest(range(1, len(p))) AS i FROM d)),
+        v AS (SELECT * FROM o WHERE NOT (s > 1 AND regexp_matches(substr(t, s - 1, 1), '[\p{L}\p{M}\p{N}_]')) AND NOT regexp_matches(substr(t, s + 6, 1), '[\p{L}\p{M}\p{N}_]')),
+        r AS (SELECT *, row_number() OVER w - 1 AS n, coalesce(lag(s) OVER w + 6, 1) AS a, coalesce(lead(s) OVER w, length(t) + 1) AS z FROM v WINDOW w AS (PARTITION BY doc_id ORDER BY s))
+        SELECT doc_id, CAST(n AS INTEGER) AS position, right(substr(t, a, s - a), 30) AS "left", left(substr(t, s + 6, z - s - 6), 30) AS "right" FROM r""".replace("\\\\p", "\\p"),
     "cosine_topk": """
         WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
         SELECT query_id, id, CAST(n AS INTEGER) AS rank FROM (
             SELECT q.vec_id AS query_id, e.vec_id AS id, row_number() OVER (PARTITION BY q.vec_id ORDER BY list_cosine_similarity(q.v, e.v) DESC, e.vec_id) AS n FROM e q JOIN e ON q.vec_id % 20 = 0 AND q.vec_id <> e.vec_id) WHERE n <= 5""",
     "description_hashes": """
         SELECT ingest_meta.run_id AS run_id, ingest_meta.record_index AS record_index,
-               sha256(CAST(to_json({'body_html': nfc_normalize(payload.body_html), 'tags': list_sort(list_filter(coalesce(payload.tags, CAST([] AS VARCHAR[])), lambda x: x IS NOT NULL)), 'title': nfc_normalize(payload.title)}) AS VARCHAR)) AS hash FROM white2tea""",
+               sha256(CAST(to_json({'body_html': nfc_normalize(payload.body_html), 'tags': list_sort(list_transform(list_filter(coalesce(payload.tags, CAST([] AS VARCHAR[])), lambda x: x IS NOT NULL), lambda x: nfc_normalize(x))), 'title': nfc_normalize(payload.title)}) AS VARCHAR)) AS hash FROM white2tea""",
     "status_pivot": "SELECT o_orderpriority, count(*) FILTER (o_orderstatus = 'F') AS F, count(*) FILTER (o_orderstatus = 'O') AS O, count(*) FILTER (o_orderstatus = 'P') AS P FROM orders GROUP BY 1",
     "body_of_work": "SELECT producer_id, harvest_year, count(*) AS products, count(DISTINCT tea_type) AS types, max(weight_grams) AS heaviest FROM product GROUP BY 1, 2",
     "ngram_freq": r"""

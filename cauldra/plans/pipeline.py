@@ -74,17 +74,21 @@ def normalize(spark: SparkSession, store: Store, base_urls: dict[str, str], as_o
     vendor = store.write("vendor", vendor.drop("base_url").join(urls, "source_key", "left").select("vendor_id", "source_key", "base_url"))
 
     producer = store.read("producer", PRODUCER)
-    hints = kept.select(F.col("producer.name").alias("name")).filter("name is not null")
+    order = F.struct("source", "snapshot_id", "variant_pos")
+    hints = kept.select(F.col("producer.name").alias("name"), order.alias("at")).filter("name is not null")
     resolved = checkpointed(resolve.resolve_producers(hints, producer))
-    # Of several spellings with one key the first in code point order names the new producer.
-    new = hints.withColumn("key", resolve.name_key(F.col("name"))).groupBy("key").agg(F.min("name").alias("canonical_name"))
-    made = bronze.with_ids(resolved.filter("how = 'create'").join(new, "key"), "producer_id", ["key"], producer.agg(F.coalesce(F.max("producer_id"), F.lit(0)).alias("m")).first()["m"]) if not resolved.filter("how = 'create'").isEmpty() else None
+    # The first spelling of a key names the new producer.
+    new = hints.withColumn("key", resolve.name_key(F.col("name"))).groupBy("key").agg(F.min_by("name", "at").alias("canonical_name"))
+    start = producer.agg(F.coalesce(F.max("producer_id"), F.lit(0)).alias("m")).first()["m"]
+    fresh = resolved.filter("how = 'create'").select("key", "at").join(new, "key").select("key", "canonical_name", F.col("at.source").alias("_a"), F.col("at.snapshot_id").alias("_b"), F.col("at.variant_pos").alias("_c"))
+    made = checkpointed(bronze.with_ids(fresh, "producer_id", ["_a", "_b", "_c", "key"], start).select("key", "canonical_name", "producer_id"))
     producer = resolve.with_aliases(producer, resolved)
-    known = resolved.select("key", "producer_id").filter("producer_id is not null")
-    if made is not None:
-        made = checkpointed(made.select("key", "canonical_name", "producer_id"))
-        producer = producer.unionByName(made.select("producer_id", "canonical_name", F.array("key").alias("aliases")))
-        known = known.unionByName(made.select("key", "producer_id"))
+    known = resolved.select("key", "producer_id").filter("producer_id is not null").unionByName(made.select("key", "producer_id"))
+    followers = resolved.filter("like is not null").select(F.col("key").alias("follower"), F.col("like").alias("key")).join(made, "key")
+    known = checkpointed(known.unionByName(followers.select(F.col("follower").alias("key"), "producer_id")))
+    theirs = followers.groupBy("producer_id").agg(F.array_sort(F.collect_set("follower")).alias("_more"))
+    made = made.join(theirs, "producer_id", "left").withColumn("aliases", F.array_union(F.array("key"), F.coalesce("_more", F.array().cast("array<string>"))))
+    producer = producer.unionByName(made.select("producer_id", "canonical_name", "aliases"))
     store.write("producer", producer)
 
     region = silver.get_or_create(kept.filter("region is not null").select("region.country", "region.province"), store.read("region", REGION), ["country", "province"], "region_id")

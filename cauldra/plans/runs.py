@@ -8,7 +8,8 @@ import time
 from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field
 from datetime import datetime, timezone
-from pathlib import Path
+
+from pyspark.sql import SparkSession
 
 _ALPHABET = "0123456789ABCDEFGHJKMNPQRSTVWXYZ"
 SAMPLES, SUMMARY_CHARS = 20, 4000
@@ -45,19 +46,34 @@ class Run:
 
 
 class Ledger:
-    """One JSON file per run in a folder: written when it starts, replaced when it ends."""
+    """One JSON file per run in a folder of the file system that the tables are in: written when the run
+    starts, replaced when it ends."""
 
-    def __init__(self, folder: str):
-        self.folder = Path(folder)
+    def __init__(self, spark: SparkSession, folder: str):
+        self.folder = folder.rstrip("/")
+        self._jvm = spark.sparkContext._jvm
+        self._path = self._jvm.org.apache.hadoop.fs.Path
+        self._fs = self._path(self.folder).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
 
     def _put(self, run: Run) -> None:
-        self.folder.mkdir(parents=True, exist_ok=True)
-        part = self.folder / f".{run.run_id}"
-        part.write_text(json.dumps(asdict(run)))
-        part.replace(self.folder / f"{run.run_id}.json")
+        part, to = (self._path(f"{self.folder}/{name}") for name in (f"_{run.run_id}", f"{run.run_id}.json"))
+        out = self._fs.create(part, True)
+        out.write(bytearray(json.dumps(asdict(run)).encode()))
+        out.close()
+        self._fs.delete(to, False)
+        if not self._fs.rename(part, to):
+            raise OSError(f"cannot write {to}")
 
     def all(self) -> list[dict]:
-        return [json.loads(p.read_text()) for p in sorted(self.folder.glob("*.json"))]
+        found = sorted(str(f.getPath()) for f in self._fs.globStatus(self._path(f"{self.folder}/*.json")) or [])
+        return [json.loads(self._read(f)) for f in found]
+
+    def _read(self, path: str) -> str:
+        stream = self._fs.open(self._path(path))
+        try:
+            return self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
 
     @contextmanager
     def run(self, source: str, mode: str):

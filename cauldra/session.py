@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -24,6 +25,16 @@ def local_session(cores: str = "8", app: str = "cauldra", partitions: int = 8) -
     return spark
 
 
+def any_session(master: str | None = None) -> SparkSession:
+    """The session there is; else one on ``master``, on what spark-submit was told, or on this machine."""
+    if (there := SparkSession.getActiveSession()) is not None:
+        return there
+    if master is None and "PYSPARK_GATEWAY_PORT" not in os.environ and "SPARK_REMOTE" not in os.environ:
+        return local_session("*")
+    builder = SparkSession.builder.appName("cauldra").config("spark.sql.session.timeZone", "UTC")
+    return (builder.master(master) if master else builder).getOrCreate()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """``df`` written to the reliable checkpoint folder, lineage cut.
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 from pathlib import Path
 
@@ -41,9 +42,35 @@ def split(scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
     return scanned.filter("ok"), scanned.filter("not ok")
 
 
-def write(records: DataFrame, root: str) -> None:
-    """Appends records (ingest_meta, payload) as JSON lines. A run is filed under the UTC date of its
-    first record by index, even if it crosses midnight. No records, no files."""
+def write(records: DataFrame, root: str) -> list[str]:
+    """Appends records (ingest_meta, payload) as JSON lines that ``scan`` reads; gives the files' paths.
+
+    A run is filed under the UTC date of its first record by index, even if it crosses midnight, in
+    files ``run=<run id>.jsonl``, in the order of the index; a run too large for one task, or one that
+    is there already, has further files ``run=<run id>-<n>.jsonl``. No records, no files. Files are
+    written aside and renamed when all are complete.
+    """
+    spark = records.sparkSession
     first = records.groupBy("ingest_meta.source", "ingest_meta.run_id").agg(F.min_by("ingest_meta.scraped_at", "ingest_meta.record_index").alias("_at"))
     out = records.withColumn("source", F.col("ingest_meta.source")).withColumn("run_id", F.col("ingest_meta.run_id")).join(first, ["source", "run_id"]).withColumn("date", F.to_date("_at"))
-    out.select("source", "date", "ingest_meta", "payload").write.mode("append").partitionBy("source", "date").json(root)
+    placed = out.repartitionByRange("source", "run_id", "ingest_meta.record_index").sortWithinPartitions("source", "date", "run_id", "ingest_meta.record_index")
+    root = root.rstrip("/")
+    aside = f"{root}/_writing-{uuid.uuid4().hex}"
+    placed.select("source", "date", F.col("run_id").alias("run"), "ingest_meta", "payload").write.partitionBy("source", "date", "run").json(aside)
+
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    made = []
+    for f in sorted(str(x.getPath()) for x in fs.globStatus(path(f"{aside}/source=*/date=*/run=*/part-*")) or []):
+        *_, source, day, run, _ = f.split("/")
+        fs.mkdirs(path(f"{root}/{source}/{day}"))
+        n, to = 0, f"{root}/{source}/{day}/{run}.jsonl"
+        while fs.exists(path(to)) or not fs.rename(path(f), path(to)):
+            n += 1
+            to = f"{root}/{source}/{day}/{run}-{n}.jsonl"
+            if n > 10_000:
+                raise OSError(f"cannot rename {f}")
+        made.append(to)
+    fs.delete(path(aside), True)
+    return made

@@ -1,6 +1,7 @@
 import random
 from datetime import datetime, timedelta
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -90,7 +91,7 @@ def test_latest_row_of_a_run_counts_and_case_does_not(spark):
 
 @pytest.mark.parametrize(
     "text, want",
-    [("9 grams", (9, "g")), ("1.76 oz (50 g)", (50, "g")), ("50 g / 1.76 oz", (50, "g")), ("7.1 oz", (201, "g")), ("4两", (200, "g")), ("半斤", (250, "g")), ("一斤", (500, "g")), ("0,1 kg", (100, "g")), ("10*25g", (250, "g")), ("5 pieces, 5 g each", (25, "g")), ("10 pack of 25 g", (250, "g")), ("20 bags @ 50g", (1000, "g")), ("25g x 10 pcs", (250, "g")), ("2 × 25 g", (50, "g")), ("1 Cake (357 g)", (357, "g")), ("1 pc / 500g", (500, "g")), ("Set of 4", None), ("12 inch", None), ("9.9 cm", None), ("Sample", None), ("a hundred grams", (100, "g")), ("Half a kilogram", (500, "g")), ("¼ lb", (113, "g")), ("1/2 lb", (227, "g")), (".25 lbs", (113, "g")), ("11.8 fluid ounces", (349, "ml")), ("22 cl", (220, "ml")), ("0,35l", (350, "ml")), ("180毫升", (180, "ml")), ("25 г", (25, "g")), ("1,000 g", (1000, "g")), ("", None), ("x" * 100_000, None)],
+    [("9 grams", (9, "g")), ("1.76 oz (50 g)", (50, "g")), ("50 g / 1.76 oz", (50, "g")), ("7.1 oz", (201, "g")), ("4两", (200, "g")), ("半斤", (250, "g")), ("一斤", (500, "g")), ("0,1 kg", (100, "g")), ("10*25g", (250, "g")), ("5 pieces, 5 g each", (25, "g")), ("10 pack of 25 g", (250, "g")), ("20 bags @ 50g", (1000, "g")), ("25g x 10 pcs", (250, "g")), ("2 × 25 g", (50, "g")), ("One disc (357 g)", (357, "g")), ("1 pc / 500g", (500, "g")), ("Set of 4", None), ("12 inch", None), ("9.9 cm", None), ("Sample", None), ("a hundred grams", (100, "g")), ("Half a kilogram", (500, "g")), ("¼ lb", (113, "g")), ("1/2 lb", (227, "g")), (".25 lbs", (113, "g")), ("11.8 fluid ounces", (349, "ml")), ("22 cl", (220, "ml")), ("0,35l", (350, "ml")), ("180毫升", (180, "ml")), ("25 г", (25, "g")), ("1,000 g", (1000, "g")), ("", None), ("x" * 100_000, None)],
 )
 def test_quantities(text, want):
     got = units.quantity(text, None, None)
@@ -169,13 +170,31 @@ def test_ladder_vectors(spark):
 
 
 def test_producers(spark):
-    known = spark.createDataFrame([(1, "North Maker", ["nm", None]), (2, "Mountain Cloud Tea Houses 0f3e9d21", None), (3, "Mountain Cloud Teas House 0f3e9d21", [])], "producer_id long, canonical_name string, aliases array<string>")
-    hints = spark.createDataFrame([("NM",), ("north  maker",), ("Mountain Cloud Tea House 0f3e9d21",), ("Nobody",), (None,), ("  ",)], "name string")
+    known = spark.createDataFrame([(1, "North Maker", ["nm", None]), (2, "Silver Creek Leaf Workshops 77", None), (3, "Silver Creeks Leaf Workshop 77", [])], "producer_id long, canonical_name string, aliases array<string>")
+    hints = spark.createDataFrame([("NM",), ("north  maker",), ("Silver Creek Leaf Workshop 77",), ("Nobody",), (None,), ("  ",)], "name string")
     told = resolve.resolve_producers(hints, known)
     got = {r["key"]: (r["producer_id"], r["how"]) for r in told.collect()}
-    assert got == {"nm": (1, "alias"), "north maker": (1, "name"), "mountain cloud tea house 0f3e9d21": (2, "trigram"), "nobody": (None, "create")}
+    assert got == {"nm": (1, "alias"), "north maker": (1, "name"), "silver creek leaf workshop 77": (2, "trigram"), "nobody": (None, "create")}
     after = {r["producer_id"]: r["aliases"] for r in resolve.with_aliases(known, told).collect()}
-    assert after[2] == ["mountain cloud tea house 0f3e9d21"] and after[1] == ["nm", None]
+    assert after[2] == ["silver creek leaf workshop 77"] and after[1] == ["nm", None, "north maker"]
+
+
+def test_new_makers_in_order(spark):
+    """Names take their turn: what one creates, later ones find, as in a loop."""
+    r = random.Random(4)
+    base = ["golden leaf mountain tea house", "old river gate trading company"]
+    keys = list({r.choice(base) + "".join(r.choice(["", "s", " x", " xy", " xyz"]) for _ in range(3)) for _ in range(60)})
+    r.shuffle(keys)
+    made, want = [], {}
+    for k in keys:
+        g = resolve.name_trigrams(k)
+        near = sorted((-len(g & h) / len(g | h), i) for i, (_, h) in enumerate(made) if len(g & h) >= 0.85 * len(g | h))
+        want[k] = made[near[0][1]][0] if near else None
+        if not near:
+            made.append((k, g))
+    hints = spark.createDataFrame([(k, i) for i, k in enumerate(keys)] * 2, "name string, at int")
+    told = resolve.resolve_producers(hints, spark.createDataFrame([], "producer_id long, canonical_name string, aliases array<string>"))
+    assert {x["key"]: x["like"] for x in told.collect()} == want and 1 < len(made) < len(keys)
 
 
 def test_trigram_index_equals_all_pairs(spark):
@@ -219,6 +238,19 @@ def test_upsert_keeps_product_and_takes_url(spark):
     assert got == {"a": (10, "old"), "b": (11, "u2"), "c": (12, "u3")}
 
 
+def test_nearest_by_blocks(spark):
+    r = np.random.default_rng(5)
+    rows = [(i, r.standard_normal(4).tolist()) for i in range(90)] + [(90, [0.0] * 4)]
+    df = spark.createDataFrame(rows, "id long, v array<double>")
+    q = df.filter("id % 3 = 0").selectExpr("id as query_id", "v as qv")
+    parts = analytics._nearest_by_blocks(df, q, "id", "v", 3, item_block=20, query_block=7).collect()
+    best = {}
+    for p in sorted(parts, key=lambda p: (p["query_id"], -p["sim"], p["id"])):
+        best.setdefault(p["query_id"], []).append(p["id"])
+    want = {(x["query_id"], x["rank"]): x["id"] for x in analytics.nearest(df, df.filter("id % 3 = 0"), "id", "v", 3).collect()}
+    assert {(k, i + 1): x for k, ids in best.items() for i, x in enumerate(ids[:3])} == want
+
+
 def test_nearest_equals_brute_force(spark):
     import numpy as np
 
