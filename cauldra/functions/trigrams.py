@@ -14,6 +14,13 @@ def trigrams(text: Column) -> Column:
     return F.array_distinct(F.flatten(F.transform(padded, lambda w: F.transform(F.sequence(F.lit(1), F.length(w) - 2), lambda i: F.substr(w, i, F.lit(3))))))
 
 
+def trigram_codes(text: Column) -> Column:
+    """The same set, each trigram as one number made of its three code points: sets of numbers are smaller
+    and quicker to intersect."""
+    point = lambda g, i: F.ascii(F.substr(g, F.lit(i), F.lit(1))).cast("long")
+    return F.transform(trigrams(text), lambda g: (point(g, 1) * (1 << 42)) + (point(g, 2) * (1 << 21)) + point(g, 3))
+
+
 def set_similarity(a: Column, b: Column) -> Column:
     """Shared over all elements of two sets; 0 where both are empty, null where one is null."""
     shared = F.size(F.array_intersect(a, b))

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import name_key
-from ..functions.trigrams import set_similarity, trigrams
+from ..functions.trigrams import set_similarity, trigram_codes, trigrams
 
 #: Similarity that makes a candidate, similarity that needs no lead, and the lead.
 SIMILAR, CERTAIN, LEAD = 0.85, 0.95, 0.10
@@ -34,21 +34,17 @@ def trigram_matches(probe: DataFrame, known: DataFrame, probe_name: str, known_i
     block, keep = block or [], keep or []
     b = [f"_b{i}" for i in range(len(block))]
     keys = [F.coalesce(F.col(c).cast("string"), F.lit("\0")).alias(k) for c, k in zip(block, b)]
-    left = probe.select(probe_name, *block, *keep, *keys).distinct().withColumn("_t", trigrams(F.col(probe_name))).filter("size(_t) > 0")
-    right = known.select(F.col(known_id).alias("_id"), F.col(known_name).alias("_name"), *keys).withColumn("_t", trigrams(F.col("_name"))).filter("size(_t) > 0")
-
-    mine = left.select(F.col(probe_name).alias("_name"), "_t").unionByName(right.select("_name", "_t")).select(F.explode("_t").alias("_g"))
-    counts = mine.groupBy("_g").agg(F.count(F.lit(1)).alias("_f"))
-
-    def prefixes(names: DataFrame) -> DataFrame:
-        grams = names.select("_name", F.explode("_t").alias("_g")).join(counts, "_g")
-        ordered = grams.groupBy("_name").agg(F.array_sort(F.collect_list(F.struct("_f", "_g"))).alias("_o"))
-        n = F.size("_o")
-        some = F.slice("_o", F.lit(1), F.greatest(n - F.ceil(n * least) + 1, F.lit(1)).cast("int"))
-        return ordered.select("_name", F.explode(some).alias("_p")).select("_name", F.col("_p._g").alias("_g"))
-
-    lp = prefixes(left.select(F.col(probe_name).alias("_name"), "_t").dropDuplicates(["_name"])).withColumnRenamed("_name", probe_name)
-    rp = prefixes(right.select("_name", "_t").dropDuplicates(["_name"]))
+    left = probe.select(probe_name, *block, *keep, *keys).distinct().withColumn("_t", trigram_codes(F.col(probe_name))).filter("size(_t) > 0")
+    right = known.select(F.col(known_id).alias("_id"), F.col(known_name).alias("_name"), *keys).withColumn("_t", trigram_codes(F.col("_name"))).filter("size(_t) > 0")
+
+    # Counts and prefixes of all names of both sides, once.
+    grams = left.select(F.col(probe_name).alias("_name")).unionByName(right.select("_name")).distinct().select("_name", F.explode(trigrams(F.col("_name"))).alias("_g"))
+    counts = grams.groupBy("_g").agg(F.count(F.lit(1)).alias("_f"))
+    ordered = grams.join(counts, "_g").groupBy("_name").agg(F.array_sort(F.collect_list(F.struct("_f", "_g"))).alias("_o"))
+    n = F.size("_o")
+    some = F.slice("_o", F.lit(1), F.greatest(n - F.ceil(n * least) + 1, F.lit(1)).cast("int"))
+    rp = ordered.select("_name", F.explode(some).alias("_p")).select("_name", F.col("_p._g").alias("_g"))
+    lp = rp.withColumnRenamed("_name", probe_name)
     l = left.join(lp, probe_name).select(probe_name, *block, *keep, *b, F.col("_t").alias("_lt"), "_g")
     r = right.join(rp, "_name").select("_id", *b, F.col("_t").alias("_rt"), "_g")
     near = l.join(r, ["_g", *b]).filter((F.size("_lt") >= least * F.size("_rt")) & (F.size("_rt") >= least * F.size("_lt")))
