@@ -455,10 +455,11 @@ def link_names(names: DataFrame) -> DataFrame:
     Null and blank names are left out; repeated names count once. Names that nothing else is linked to
     are entities of their own. Very long names are read like others. An empty input gives none.
     """
-    from ..session import checkpointed
+    from ..session import checkpointed, parallelism
 
     distinct = names.filter(F.regexp_replace("name", r"(?U)\s+", "") != "").select("name").distinct()
-    told = checkpointed(forms(distinct))
+    # By number, so that few names still spread over all tasks.
+    told = checkpointed(forms(distinct.repartition(parallelism(names.sparkSession), "name")))
     links = entity_links(checkpointed(accepted_pairs(told.select("form", "short").distinct())))
     grouped = components(links)
     return told.join(grouped.withColumnRenamed("node", "form"), "form", "left").select("name", F.coalesce("component", "form").alias("entity"))
