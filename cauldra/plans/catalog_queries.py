@@ -497,6 +497,20 @@ ORACLE = {
         v AS (SELECT * FROM o WHERE NOT (s > 1 AND regexp_matches(substr(t, s - 1, 1), '[\p{L}\p{M}\p{N}_]')) AND NOT regexp_matches(substr(t, s + 6, 1), '[\p{L}\p{M}\p{N}_]')),
         r AS (SELECT *, row_number() OVER w - 1 AS n, coalesce(lag(s) OVER w + 6, 1) AS a, coalesce(lead(s) OVER w, length(t) + 1) AS z FROM v WINDOW w AS (PARTITION BY doc_id ORDER BY s))
         SELECT doc_id, CAST(n AS INTEGER) AS position, right(substr(t, a, s - a), 30) AS "left", left(substr(t, s + 6, z - s - 6), 30) AS "right" FROM r""".replace("\\\\p", "\\p"),
+    "ladder_products": f"""
+        WITH RECURSIVE r AS MATERIALIZED (
+            SELECT row_number() OVER (ORDER BY product_id) AS i, product_id AS row_no, regexp_replace(regexp_replace(lower(nfc_normalize(canonical_name)), '{_WS}+', ' ', 'g'), '^ | $', '', 'g') AS key, lower(canonical_name) AS low, {_tri('canonical_name')} AS t,
+                   concat_ws('/', coalesce(CAST(producer_id AS VARCHAR), '-'), coalesce(CAST(harvest_year AS VARCHAR), '-'), coalesce(CAST(weight_grams AS VARCHAR), '-')) AS g FROM product),
+        walk AS (
+            SELECT CAST(0 AS BIGINT) AS i, CAST([] AS STRUCT(g VARCHAR, id BIGINT, low VARCHAR, t VARCHAR[])[]) AS known, CAST(NULL AS BIGINT) AS row_no, CAST(NULL AS BIGINT) AS product_id, CAST(NULL AS VARCHAR) AS decision
+            UNION ALL
+            SELECT i, CASE WHEN decision LIKE '%created' THEN list_append(known, {{'g': g, 'id': product_id, 'low': low, 't': t}}) ELSE known END, row_no, product_id, decision
+            FROM (SELECT *, CASE WHEN len(e) > 0 THEN list_min(e) WHEN sure THEN c[1].id ELSE -row_no END AS product_id, CASE WHEN len(e) > 0 THEN 'exact' WHEN sure THEN 'trigram' WHEN len(c) > 0 THEN 'ambiguous_created' ELSE 'created' END AS decision
+                  FROM (SELECT *, len(c) > 0 AND (len(c) < 2 OR -c[1].n >= 0.95 OR c[2].n - c[1].n >= 0.10) AS sure
+                        FROM (SELECT i, known, row_no, g, low, t, list_transform(list_filter(near, lambda k: k.low = key), lambda k: k.id) AS e,
+                                     list_sort(list_filter(list_transform(near, lambda k: {{'n': -len(list_intersect(t, k.t)) / (len(t) + len(k.t) - len(list_intersect(t, k.t))), 'a': -k.id, 'id': k.id}}), lambda k: k.n <= -0.85)) AS c
+                              FROM (SELECT r.*, walk.known, list_filter(walk.known, lambda k: k.g = r.g) AS near FROM walk JOIN r ON r.i = walk.i + 1)))))
+        SELECT row_no, product_id, decision FROM walk WHERE i > 0""",
     "cosine_topk": """
         WITH e AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings)
         SELECT query_id, id, CAST(n AS INTEGER) AS rank FROM (
