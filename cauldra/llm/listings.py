@@ -55,6 +55,11 @@ _LINKING = frozenset("of the by from and with a an in for tea teas set".split())
 _TITLE_WORD = re.compile(r"[^\W\d_]+(?:['’-][^\W\d_]+)*")
 
 
+@lru_cache(maxsize=100_000)
+def _bare_word(word: str) -> str:
+    return canonical.compact(canonical.spaced(word))
+
+
 class TypeWords:
     """The names of types as titles write them, all from the reference list: whole names, and names
     without a last word that names of several entries end with ("White" for "White Tea")."""
@@ -90,7 +95,7 @@ class TypeWords:
     def find(self, text: str, own: int = 0) -> tuple[int, int, int] | None:
         """(start, end, entry) of the words that name a type: those of the listing's own type before
         others, then more letters, an error costing two of them; later ones on ties."""
-        words = [(m.start(), m.end(), canonical.compact(canonical.spaced(m[0]))) for m in _TITLE_WORD.finditer(text)]
+        words = [(m.start(), m.end(), _bare_word(m[0])) for m in _TITLE_WORD.finditer(text)]
         best = None
         for i in range(len(words)):
             key = ""
@@ -166,7 +171,7 @@ def split_words(rest: list[str], vendor: str | None, seller: bool) -> tuple[list
     for w in rest:
         b = w.rstrip(".")
         cut = (w != b and any(o.startswith(b) for o in own)) or any(b.startswith(o) for o in short)
-        near.append(b in own or cut or (5 <= len(b) <= names.LONG and any(abs(len(b) - len(o)) <= 2 and canonical.edits(b, o) <= 2 for o in fuzzy)))
+        near.append(b in own or cut or (5 <= len(b) <= names.LONG and any(names.edits_up_to(b, o, 2) <= 2 for o in fuzzy)))
     # A pet form of the given name is also an ordinary word ("Sandy Harbor"): it counts before a name.
     near = [n or (given and names._GIVEN.get(w) == given and any(near[i + 1 : i + 2])) for i, (w, n) in enumerate(zip(rest, near))]
     return [w for w, n in zip(rest, near) if not n], [w for w, n in zip(rest, near) if n]

@@ -120,7 +120,7 @@ def read_name(text: str) -> tuple[str, list[tuple[str, bool]], list[str]]:
             business.extend(_JOINED[w])
         elif w in _BUSINESS:
             business.append(_BUSINESS[w])
-        elif 5 <= len(w) <= 20 and (near := [b for b in _LONG_BUSINESS if abs(len(b) - len(w)) <= 2 and w[0] == b[0] and edits(w, b) <= (1 if len(b) <= 6 else 2)]):
+        elif 5 <= len(w) <= 20 and (near := [b for b in _LONG_BUSINESS if w[0] == b[0] and edits_up_to(w, b, 2) <= (1 if len(b) <= 6 else 2)]):
             business.append(near[0])
         elif not given and w in _GIVEN:
             given = _GIVEN[w]
