@@ -29,3 +29,23 @@ def set_similarity(a: Column, b: Column) -> Column:
 
 def similarity(a: Column, b: Column) -> Column:
     return set_similarity(trigrams(a), trigrams(b))
+
+
+#: Words of a mark, of 64 bits each.
+MARK = 2
+
+
+def mark(codes: Column) -> Column:
+    """A set of numbers as ``MARK`` numbers, every element setting one of their bits."""
+    bit = lambda c: F.pmod(F.xxhash64(c), F.lit(64 * MARK)).cast("int")
+    one = lambda c: F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(bit(c), F.lit(64)))
+    word = lambda k: F.aggregate(codes, F.lit(0).cast("long"), lambda x, c: F.when(F.floor(bit(c) / 64) == k, x.bitwiseOR(one(c))).otherwise(x))
+    return F.struct(F.size(codes).alias("n"), *[word(k).alias(f"w{k}") for k in range(MARK)])
+
+
+def similarity_bound(a: Column, b: Column) -> Column:
+    """What the similarity of two sets, not both empty, is at most, by their marks: a bit that only one has stands
+    for an element that only one has."""
+    lacks = lambda x, y: sum((F.bit_count(x[f"w{k}"].bitwiseAND(F.bitwise_not(y[f"w{k}"]))) for k in range(1, MARK)), F.bit_count(x["w0"].bitwiseAND(F.bitwise_not(y["w0"]))))
+    shared = F.least(a["n"] - lacks(a, b), b["n"] - lacks(b, a))
+    return shared / (a["n"] + b["n"] - shared)

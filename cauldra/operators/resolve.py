@@ -12,15 +12,17 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import name_key
-from ..functions.trigrams import set_similarity, trigram_codes, trigrams
+from ..functions.trigrams import mark, set_similarity, similarity_bound, trigram_codes, trigrams
 
 #: Similarity that makes a candidate, similarity that needs no lead, and the lead.
 SIMILAR, CERTAIN, LEAD = 0.85, 0.95, 0.10
 CANDIDATES = 5
+#: Rows of one block that one task compares with the block, at least.
+CELL_ROWS = 2000
 
 
 def trigram_matches(probe: DataFrame, known: DataFrame, probe_name: str, known_id: str, known_name: str, least: float = SIMILAR, block: list[str] | None = None, keep: list[str] | None = None) -> DataFrame:
@@ -52,6 +54,60 @@ def trigram_matches(probe: DataFrame, known: DataFrame, probe_name: str, known_i
     return scored.select(probe_name, *block, *keep, F.col("_id").alias(known_id), "sim")
 
 
+def best_others(rows: DataFrame, ident: str, name: str, block: list[str], least: float) -> DataFrame:
+    """(ident, other, sim, second) per id: the most similar other id of its block, with at least ``least``
+    similarity (the lowest id on ties), and the similarity of the row that comes next.
+
+    ``second`` is null where there is none; it is not looked for where the sets of trigrams are equal
+    (``sim`` 1). Names without letters and digits are only like each other, with ``sim`` NaN. An id may
+    have several rows: each counts, none for its own id. Rows with a null in these columns match nothing.
+
+    Names of one set are one class of their block. Whoever shares a class has its match there; only rows
+    that are alone in theirs are compared, with the first rows of every other class, first by marks that
+    bound the similarity. A block's comparisons spread over tasks by its rows.
+    """
+    from ..session import checkpointed, parallelism
+
+    rows = rows.select(F.col(ident).alias("_id"), F.col(name).alias("_name"), *block)
+    for c in rows.columns:
+        rows = rows.filter(F.col(c).isNotNull())
+    sets = rows.select("_name").distinct().withColumn("_t", F.array_sort(trigram_codes(F.col("_name"))))
+    sets = checkpointed(sets.withColumn("_set", F.min("_name").over(Window.partitionBy("_t"))))
+    members = rows.join(sets.select("_name", "_set", (F.size("_t") == 0).alias("_bare")), "_name").groupBy(*block, "_set", "_bare", "_id").agg(F.count(F.lit(1)).alias("_n"))
+    w = Window.partitionBy(*block, "_set", "_bare").orderBy("_id")
+    members = checkpointed(members.withColumns({"_rank": F.row_number().over(w), "_next": F.lead("_id").over(w), "_first": F.first("_id").over(w)}))
+    lone = (F.col("_rank") == 1) & F.col("_next").isNull()
+    same = members.filter(~lone).select("_id", F.when(F.col("_rank") == 1, F.col("_next")).otherwise(F.col("_first")).alias("other"), F.when(F.col("_bare"), float("nan")).otherwise(1.0).alias("sim"), F.lit(1).cast("long").alias("_n"))
+
+    # The first three of a class: one of them may be the id itself, two others are enough.
+    marked = sets.filter("_name = _set").select("_set", "_t", mark(F.col("_t")).alias("_m"))
+    tasks = parallelism(rows.sparkSession)
+    cells = members.filter(lone & ~F.col("_bare")).groupBy(*block).agg(F.least(F.ceil(F.count(F.lit(1)) / CELL_ROWS), F.lit(tasks)).cast("int").alias("_cells"))
+    heads = members.filter((F.col("_rank") <= 3) & ~F.col("_bare")).join(cells, block).join(marked, "_set")
+    # Two rows beside it in the order of names are so similar: what is less cannot be of the best two.
+    by_name = Window.partitionBy(*block).orderBy("_set", "_id")
+    beside = [F.when(f("_id", k).over(by_name) != F.col("_id"), set_similarity(F.col("_t"), f("_t", k).over(by_name))) for f in (F.lag, F.lead) for k in (1, 2)]
+    second = F.try_element_at(F.sort_array(F.filter("_beside", lambda x: x.isNotNull()), asc=False), F.lit(2))
+    heads = heads.withColumn("_beside", F.array(*beside)).withColumn("_least", F.greatest(F.lit(least), second))
+    side = lambda df, cell: df.select(*block, cell.alias("_cell"), "_id", "_n", "_t", "_m", "_least").repartition(tasks, *block, "_cell")
+    a = side(heads.filter(lone), F.pmod(F.xxhash64("_set"), F.col("_cells")).cast("int")).alias("a")
+    b = side(heads, F.explode(F.sequence(F.lit(0), F.col("_cells") - 1))).drop("_least").alias("b")
+    on = F.col("a._id") != F.col("b._id")
+    for c in [*block, "_cell"]:
+        on &= F.col(f"a.{c}") == F.col(f"b.{c}")
+    # In a lambda, so that the shared elements are counted once.
+    shared = F.array(F.size(F.array_intersect("a._t", "b._t")))
+    sim = F.when(similarity_bound(F.col("a._m"), F.col("b._m")) >= F.col("a._least"), F.transform(shared, lambda n: n / (F.col("a._m.n") + F.col("b._m.n") - n))[0])
+    near = a.join(b, on).select(*[F.col(f"a.{c}").alias(c) for c in [*block, "_cell", "_id"]], F.col("b._id").alias("other"), sim.alias("sim"), (F.col("a._n") * F.col("b._n")).alias("_n"), F.col("a._least").alias("_least")).filter(F.col("sim") >= F.col("_least"))
+    best = [F.col("sim").desc(), "other"]
+    near = near.withColumn("_rank", F.row_number().over(Window.partitionBy(*block, "_cell", "_id").orderBy(*best))).filter("_rank <= 2")
+
+    w = Window.partitionBy("_id").orderBy(*best)
+    top = near.select("_id", "other", "sim", "_n").unionByName(same).withColumns({"_rank": F.row_number().over(w), "_next": F.lead("sim").over(w)}).filter("_rank = 1")
+    second = F.when(F.col("sim") < 1, F.when(F.col("_n") > 1, F.col("sim")).otherwise(F.col("_next")))
+    return top.select(F.col("_id").alias(ident), "other", "sim", second.alias("second"))
+
+
 def leaders(names: DataFrame, links: DataFrame) -> DataFrame:
     """(key) of the names that make an entity of their own, if names are taken in order and each joins an
     earlier one that it is linked to and that has made one.

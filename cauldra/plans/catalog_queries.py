@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from ..functions import catalog as c
 from ..functions import pages
 from ..functions import text as t
-from ..functions.trigrams import similarity
 from ..operators import analytics, bronze, recency, resolve, silver
 from ..session import table
 
@@ -231,12 +230,8 @@ def trigram_pairs(spark: SparkSession, d: str) -> DataFrame:
 
 def ambiguity_label(spark: SparkSession, d: str) -> DataFrame:
     """Per part the label that its two best candidates of the same brand and size give."""
-    part = table(spark, d, "part").select("p_partkey", "p_name", "p_brand", "p_size")
-    a, b = part.alias("a"), part.alias("b")
-    pairs = a.join(b, (F.col("a.p_brand") == F.col("b.p_brand")) & (F.col("a.p_size") == F.col("b.p_size")) & (F.col("a.p_partkey") != F.col("b.p_partkey"))).select(F.col("a.p_partkey").alias("p_partkey"), F.col("b.p_partkey").alias("other"), similarity(F.col("a.p_name"), F.col("b.p_name")).alias("sim")).filter("sim >= 0.3")
-    w = Window.partitionBy("p_partkey").orderBy(F.col("sim").desc(), "other")
-    top = pairs.withColumn("n", F.row_number().over(w)).withColumn("second", F.lead("sim").over(w)).filter("n = 1")
-    label = F.when(F.col("second").isNotNull() & (F.col("sim") < 0.95) & (F.col("sim") - F.col("second") < 0.10), "ambiguous").otherwise("similar")
+    top = resolve.best_others(table(spark, d, "part"), "p_partkey", "p_name", ["p_brand", "p_size"], 0.3)
+    label = F.when(F.col("second").isNotNull() & (F.col("sim") < resolve.CERTAIN) & (F.col("sim") - F.col("second") < resolve.LEAD), "ambiguous").otherwise("similar")
     return top.select("p_partkey", "other", label.alias("label"))
 
 

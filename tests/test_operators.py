@@ -276,3 +276,43 @@ def test_shop_pages_retry_and_stop():
     assert [g[5] for g in got] == ["1", "2"] and [g[4] for g in got] == [0, 1] and waits[:2] == [3.0, 2.0]
     with pytest.raises(OSError):
         list(shops.records("s", "https://x", "r", 1000.0, lambda url: (403, {}, b""), waits.append))
+
+
+@pytest.mark.parametrize("cell_rows", [2000, 3])
+def test_best_others_equal_sql(spark, monkeypatch, tmp_path, cell_rows):
+    duckdb = pytest.importorskip("duckdb")
+    from cauldra.plans import catalog_queries
+
+    monkeypatch.setattr(resolve, "CELL_ROWS", cell_rows)
+    r = random.Random(cell_rows)
+    words = ["large", "Large", "larger", "hot", "hotter", "ring", "rings", "bolt", "bölt", "bold", "x1", "x2", "x3", "茶"]
+    name = lambda: r.choice([None, "", " - ", "..."]) if r.random() < 0.1 else r.choice([" ", "  ", "-"]).join(r.choice(words) for _ in range(r.randint(1, 4)))
+    rows = [(None if r.random() < 0.03 else r.choice([i, r.randint(0, 500)]), name(), r.choice(["a", "b", "b", None]), r.choice([1, 2, 2, 2, None])) for i in range(500)]
+    # Rows alone in their block but for one that is alike, and an id with rows that are equal.
+    rows += [(601, "Old Arbor Cake", "c", 1), (602, "Old Arbor Cakes", "c", 1), (603, "Old Arbor Cake", "d", 1), (604, "Old Arbor Cakes", "d", 1), (604, "Old Arbor Cakes", "d", 1), (605, "?", "e", 1), (606, "!", "e", 1), (607, "q", "f", 1)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW part AS SELECT * FROM read_parquet('{tmp_path}/part.parquet/*.parquet')")
+    want = sorted(con.execute(f"SELECT p_partkey, other, label FROM ({catalog_queries.ORACLE['ambiguity_label']})").fetchall())
+    got = sorted(tuple(x) for x in catalog_queries.ambiguity_label(spark, str(tmp_path)).collect())
+    assert got == want
+    assert (601, 602, "similar") in got and (603, 604, "ambiguous") in got and (605, 606, "similar") in got
+
+
+def test_rows_of_equal_names_are_not_compared_in_pairs(spark, tmp_path):
+    """All pairs of rows would be 400 million similarities; the job is cancelled after a minute and a half."""
+    import threading
+
+    from cauldra.plans import catalog_queries
+
+    n = 20_000
+    df = spark.range(n).select(F.col("id").alias("p_partkey"), F.format_string("large name %d", F.col("id") % 40).alias("p_name"))
+    df = df.unionByName(spark.createDataFrame([(n, "Large, name!")], "p_partkey long, p_name string"))
+    df.withColumns({"p_brand": F.lit("b"), "p_size": F.lit(1)}).write.parquet(f"{tmp_path}/part.parquet")
+    stop = threading.Timer(90, spark.sparkContext.cancelAllJobs)
+    stop.start()
+    try:
+        got = {x["p_partkey"]: (x["other"], x["label"]) for x in catalog_queries.ambiguity_label(spark, str(tmp_path)).collect()}
+    finally:
+        stop.cancel()
+    assert got == {i: (i % 40 if i >= 40 else i + 40, "similar") for i in range(n)} | {n: (0, "ambiguous")}
